@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from kelpforge.llm.bpe import bpe_digest
 from kelpforge.llm.exact_dedup import exact_dedup
 from kelpforge.session import table
 
@@ -28,3 +30,11 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM (SELECT doc_id, sha256({_FOLD}) AS h FROM documents)
 WINDOW w AS (PARTITION BY h)
 """
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and round trip of every document under the public 50k vocabulary."""
+    return bpe_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+QUERIES["op10_bpe"] = op10_bpe
