@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from kelpforge.llm.bpe import bpe_digest
+from kelpforge.llm.decontaminate import contamination, contamination_report
 from kelpforge.llm.exact_dedup import exact_dedup
+from kelpforge.llm.license_scan import license_report, license_spans
 from kelpforge.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +40,16 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op10_bpe"] = op10_bpe
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in every document: base phrases and fuzzy short notices."""
+    return license_report(license_spans(table(spark, sf_dir, "documents")))
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    return contamination_report(contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+QUERIES |= {"op2_license_scan": op2_license_scan, "op9_decontaminate": op9_decontaminate}
