@@ -12,6 +12,7 @@ from kelpforge.llm.bpe import bpe_digest
 from kelpforge.llm.chat_format import chat_digest, fold, render, turn_events
 from kelpforge.llm.decontaminate import contamination, contamination_report
 from kelpforge.llm.exact_dedup import exact_dedup
+from kelpforge.llm.html_extract import extract_main_text
 from kelpforge.llm.license_scan import license_report, license_spans
 from kelpforge.session import table
 
@@ -81,3 +82,11 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(12 + {_ESC.format("role")} + 1 + {_ESC.format("text")} + 11) AS BIGINT) AS formatted_chars
 FROM c GROUP BY conv_id
 """
+
+
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+QUERIES["op8_html_extract"] = op8_html_extract
