@@ -14,6 +14,7 @@ from kelpforge.llm.decontaminate import contamination, contamination_report
 from kelpforge.llm.exact_dedup import exact_dedup
 from kelpforge.llm.html_extract import extract_main_text
 from kelpforge.llm.license_scan import license_report, license_spans
+from kelpforge.llm.toxicity import fit_toxicity, held_out, score_toxicity
 from kelpforge.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +91,16 @@ def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op8_html_extract"] = op8_html_extract
+
+#: A document is called toxic from this score on.
+TOXIC = 0.3
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score for every document, learnt from labels that aren't held out."""
+    docs = table(spark, sf_dir, "documents")
+    scored = score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
+
+
+QUERIES["op6_toxicity"] = op6_toxicity
