@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from kelpforge.llm.bpe import bpe_digest
 from kelpforge.llm.chat_format import chat_digest, fold, render, turn_events
+from kelpforge.llm.class_lm import score_documents
 from kelpforge.llm.decontaminate import contamination, contamination_report
 from kelpforge.llm.exact_dedup import exact_dedup
 from kelpforge.llm.html_extract import extract_main_text
@@ -104,3 +105,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op6_toxicity"] = op6_toxicity
+
+
+def op7_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class-bigram and unigram scores of every document."""
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op7_class_lm"] = op7_class_lm
