@@ -22,7 +22,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -30,8 +30,9 @@ import pyarrow as pa
 import regex
 import tiktoken
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from kelpforge.llm.common import chunks, map_arrow, with_text
+from kelpforge.llm.common import add_column, chunks, map_arrow, with_text
 
 #: Fixed value: the pre-tokenizer's pattern of byte-level BPE.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -203,3 +204,20 @@ def bpe_digest(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids), pa.array(text)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return map_arrow(with_text(docs, id_col, text_col), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def encode_documents(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
+    """``docs`` with its text replaced by ``ids`` and ``n_tokens``; rows whose ids don't decode
+    to their text again are left out (there are none with a byte-level vocabulary)."""
+
+    def make() -> Callable[[str], list[int] | None]:
+        bpe = load(path)
+
+        def one(text: str) -> list[int] | None:
+            ids = bpe.encode(text)
+            return ids if bpe.decode(ids) == text else None
+
+        return one
+
+    out = add_column(docs, text_col, "ids", "array<int>", pa.list_(pa.int32()), make).where("ids IS NOT NULL")
+    return out.select(*(c for c in docs.columns if c != text_col), "ids", F.size("ids").cast("long").alias("n_tokens"))

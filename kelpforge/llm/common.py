@@ -61,11 +61,28 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return df.mapInArrow(fn, schema)
 
 
-def only_ids(docs: DataFrame, ids: DataFrame, how: str = "left_semi", limit: int = BROADCAST_IDS) -> DataFrame:
-    """``docs`` whose doc_id is (or with ``left_anti`` isn't) in the materialized ``ids``.
+def only_ids(docs: DataFrame, ids: DataFrame, how: str = "left_semi", limit: int = BROADCAST_IDS, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` whose id is (or with ``left_anti`` isn't) in the materialized ``ids`` (doc_id).
 
     The ids are counted first: up to ``limit`` rows they are broadcast, so that no text
     is shuffled; beyond it a shuffled join does the same.
     """
     small = ids.limit(limit + 1).count() <= limit
-    return docs.join(F.broadcast(ids) if small else ids.hint("merge"), "doc_id", how)
+    named = ids.select(F.col("doc_id").alias("_only_id"))
+    return docs.join(F.broadcast(named) if small else named.hint("merge"), docs[id_col] == F.col("_only_id"), how)
+
+
+def add_column(df: DataFrame, text_col: str, name: str, kind: str, arrow: pa.DataType, make: Callable[[], Callable[[str], object]]) -> DataFrame:
+    """``df`` with a column computed from each whole text (null: empty), in one pass without a join.
+
+    ``make`` runs once in a worker and returns the function of a text.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fn = make()
+        for b in chunks(batches, text_col):
+            got = [fn(t or "") for t in b.column(b.schema.get_field_index(text_col)).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, arrow)], [*b.schema.names, name])
+
+    fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema)
+    return df.mapInArrow(run, f"{fields}, `{name}` {kind}")

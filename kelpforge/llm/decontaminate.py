@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kelpforge.llm.common import WORD_TABLE, chunks, map_arrow, with_text, words
+from kelpforge.llm.common import WORD_TABLE, chunks, map_arrow, only_ids, with_text, words
+from kelpforge.session import materialize
 
 WINDOW = 10
 #: Words of items in one automaton (about 200 bytes each in a worker).
@@ -248,10 +249,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """
     report = contamination(docs, benchmark, id_col, text_col, window=window)
     n_hit = F.aggregate("spans", F.lit(0.0), lambda acc, s: acc + s["end_word"] - s["start_word"])
-    hit = report.where(F.size("spans") > 0).select("doc_id", "spans", (n_hit / F.col("n_words") > F.lit(max_coverage)).alias("_over"))
-    cut = F.udf(lambda t, s: without_words(t or "", [(x["start_word"], x["end_word"]) for x in s if x["longest"] > max_run]), "string")
-    joined = docs.join(hit.withColumnRenamed("doc_id", "_hit"), F.col(id_col) == F.col("_hit"), "left").where("_over IS NULL OR NOT _over")
-    clean = joined.where("_over IS NULL").select(*docs.columns)
+    hit = materialize(report.where((F.size("spans") > 0) & F.col("doc_id").isNotNull()).select("doc_id", "spans", (n_hit / F.col("n_words") > F.lit(max_coverage)).alias("_over")), "hits")
+    clean = only_ids(docs, hit.select("doc_id").distinct(), "left_anti", id_col=id_col)
     if max_coverage <= 0:
         return clean
-    return clean.unionByName(joined.where("_over IS NOT NULL").withColumn(text_col, cut(text_col, "spans")).select(*docs.columns))
+    cut = F.udf(lambda t, s: without_words(t or "", [(x["start_word"], x["end_word"]) for x in s if x["longest"] > max_run]), "string")
+    few = hit.where(~F.col("_over")).select(F.col("doc_id").alias("_hit"), "spans")
+    touched = only_ids(docs, hit.select("doc_id").distinct(), id_col=id_col).join(few, F.col(id_col) == F.col("_hit"))
+    return clean.unionByName(touched.withColumn(text_col, cut(text_col, "spans")).select(*docs.columns))

@@ -10,8 +10,8 @@ count as one text; false positives find no partner there.
 Only digests and ids are shuffled. Texts move for the positives alone (a size-checked
 broadcast of their ids, or a shuffled join beyond the bound).
 
-Defined cases: null text counts as empty and empty texts equal each other; a null doc_id is
-kept as a row of its group and never wins against a number; repeated rows (same id, same
+Defined cases: null text counts as empty and empty texts equal each other; a null doc_id never
+wins against a number, and rows of a group without any id all stay; repeated rows (same id, same
 text) count as members; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -202,6 +202,6 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "doc_id",
         F.coalesce("keep_id", "doc_id").alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-        F.coalesce(F.col("doc_id") == F.coalesce("keep_id", "doc_id"), F.lit(False)).alias("kept"),
+        F.col("doc_id").eqNullSafe(F.coalesce("keep_id", "doc_id")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )

@@ -15,6 +15,7 @@ from kelpforge.llm.decontaminate import contamination, contamination_report
 from kelpforge.llm.exact_dedup import exact_dedup
 from kelpforge.llm.html_extract import extract_main_text
 from kelpforge.llm.license_scan import license_report, license_spans
+from kelpforge.llm.near_dedup import near_dedup
 from kelpforge.llm.toxicity import fit_toxicity, held_out, score_toxicity
 from kelpforge.session import table
 
@@ -113,3 +114,11 @@ def op7_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op7_class_lm"] = op7_class_lm
+
+
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return near_dedup(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op5_near_dedup"] = op5_near_dedup

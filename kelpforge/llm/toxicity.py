@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kelpforge.llm.common import BROADCAST_IDS, chunks, map_arrow, with_text, words
+from kelpforge.llm.common import BROADCAST_IDS, add_column, chunks, map_arrow, with_text, words
 
 #: Identity terms in groups within which they are swapped.
 IDENTITY_GROUPS = (
@@ -199,3 +199,9 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([m.score(t) for t in b.column(1).to_pylist()], pa.float64())], ["doc_id", "score"])
 
     return map_arrow(with_text(docs, id_col, text_col), run, "doc_id long, score double")
+
+
+def with_toxicity(docs: DataFrame, model: ToxicityModel, name: str = "toxicity", text_col: str = "text") -> DataFrame:
+    """``docs`` with the score of every text as a column, without a join."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return add_column(docs, text_col, name, "double", pa.float64(), lambda: shared.value.score)
