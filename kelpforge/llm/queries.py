@@ -16,6 +16,7 @@ from kelpforge.llm.exact_dedup import exact_dedup
 from kelpforge.llm.html_extract import extract_main_text
 from kelpforge.llm.license_scan import license_report, license_spans
 from kelpforge.llm.near_dedup import near_dedup
+from kelpforge.llm.substring_dedup import substring_dedup
 from kelpforge.llm.toxicity import fit_toxicity, held_out, score_toxicity
 from kelpforge.session import table
 
@@ -122,3 +123,11 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op5_near_dedup"] = op5_near_dedup
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that near-repeat across documents."""
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op3_substring_dedup"] = op3_substring_dedup
