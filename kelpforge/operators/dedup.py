@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,3 +20,47 @@ def first_wins(df: DataFrame, keys: list[str], order: str, count: str | None = N
         aggs.append(F.count(F.lit(1)).cast("long").alias(count))
     got = df.groupBy(*keys).agg(*aggs)
     return got.select(*keys, *(F.col(f"_first.{c}").alias(c) for c in rest), *([count] if count else []))
+
+
+def layered_dedup(df: DataFrame, order: str, episode: str, problem: str, code: str, mutation: str, signature: str, variant: list[str], per_signature: int = 2) -> DataFrame:
+    """Rows with a ``dedup_reason`` (null: kept), layer by layer in arrival order.
+
+    A row goes if its episode id was kept before; else if (problem, code) was; else if
+    (problem, mutation set) was, where there is one; else if its failure signature was kept
+    ``per_signature`` times in the problem; else if that signature was kept with the same
+    ``variant``. Keys are claimed by kept rows only, so a row that one layer rejects blocks no
+    later row in another. The layers depend on each other and on the order, so each problem is
+    folded sequentially; only keys travel, and the rows are joined back by ``order`` (unique).
+    """
+    keys = [order, episode, problem, code, mutation, signature, *variant]
+    slim = df.select(*dict.fromkeys(keys))
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, codes, mutations, variants = set(), set(), set(), set()
+        signatures: dict = {}
+        out = []
+        for r in pdf.sort_values(order, kind="stable").to_dict("records"):
+            sig = r[signature]
+            var = (sig, *(r[v] for v in variant))
+            if r[episode] in ids:
+                why = "duplicate_episode"
+            elif r[code] in codes:
+                why = "duplicate_code"
+            elif r[mutation] is not None and r[mutation] in mutations:
+                why = "duplicate_mutation_set"
+            elif sig is not None and signatures.get(sig, 0) >= per_signature:
+                why = "signature_limit"
+            elif sig is not None and var in variants:
+                why = "duplicate_variant"
+            else:
+                why = None
+                ids.add(r[episode])
+                codes.add(r[code])
+                mutations.add(r[mutation])
+                variants.add(var)
+                signatures[sig] = signatures.get(sig, 0) + 1
+            out.append((r[order], why))
+        return pd.DataFrame(out, columns=[order, "dedup_reason"])
+
+    kind = df.schema[order].dataType.simpleString()
+    return df.join(slim.groupBy(problem).applyInPandas(fold, f"{order} {kind}, dedup_reason string"), order)
