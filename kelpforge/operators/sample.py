@@ -81,9 +81,10 @@ def constrained_sample(df: DataFrame, cell: str, id_col: str, utility: str, code
     """
     pair_caps = dict(pair_caps or {})
     wanted = {c: n for c, n in quotas.items() if n > 0}
-    slim = df.where(F.col(cell).isin(list(wanted))).select(cell, id_col, F.coalesce(utility, F.lit(0.0)).cast("double").alias("_u"), code, problem, *pair_caps)
-    best = top_by(slim.withColumn("_k", F.concat_ws("\x1f", cell, code, problem, *pair_caps)), "_k", [F.desc("_u"), F.col(id_col)], 1).drop("_k")
-    cols = [cell, id_col, "_u", code, problem, *pair_caps]
+    slim = df.where(F.col(cell).isin(list(wanted))).select(cell, id_col, F.coalesce(utility, F.lit(0.0)).cast("double").alias("_u"), code, problem, *(F.col(c).alias(f"_p{k}") for k, c in enumerate(pair_caps)))
+    places = [f"_p{k}" for k in range(len(pair_caps))]
+    best = top_by(slim.withColumn("_k", F.concat_ws("\x1f", cell, code, problem, *places)), "_k", [F.desc("_u"), F.col(id_col)], 1).drop("_k")
+    cols = [cell, id_col, "_u", code, problem, *places]
 
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = sorted(pdf[cols].itertuples(index=False, name=None), key=lambda r: (r[0], -r[2], r[1]))
