@@ -9,8 +9,8 @@ from kelpforge.functions.text import ordered_reason, strip
 
 #: Items of a containment search that one broadcast may hold.
 CONTAINS_BROADCAST = 100_000
-#: The private fields' names that no public text may show.
-INTERNAL_MARKERS = ("hidden_test", "private_evaluation", "reference_code", "mutation_record", "selected_reference", "failure_signature")
+#: The JSON keys of private fields, as they look in a text that leaks them.
+INTERNAL_MARKERS = ('"expected":', '"actual":', '"test_index":', '"reference_solution":', '"source_span":', '"mutation_operator":')
 #: What a feedback holds, and its statuses.
 FEEDBACK_KEYS = ("failing_input", "pass_rate", "passed", "status", "total")
 STATUSES = ("accepted", "wrong_answer", "runtime_error", "timeout")

@@ -29,7 +29,7 @@ def grade_fold(cases: DataFrame, program: Sequence[str], order: str, passed: Col
     output and invalid input are runtime errors; anything else is a wrong answer.
     """
     failed = ~passed
-    kind = F.when(status == "timeout", "timeout").when(status.isin("runtime_error", "output_limit", "invalid_input"), "runtime_error").otherwise("wrong_answer")
+    kind = F.when(status == "timeout", "timeout").when(status.isin("runtime_error", "compile_error", "output_limit", "invalid_input"), "runtime_error").otherwise("wrong_answer")
     ok = F.count_if(passed)
     n = F.count(F.lit(1))
     return cases.groupBy(*program).agg(
