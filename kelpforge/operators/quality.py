@@ -16,24 +16,24 @@ FEEDBACK_KEYS = ("failing_input", "pass_rate", "passed", "status", "total")
 STATUSES = ("accepted", "wrong_answer", "runtime_error", "timeout")
 
 
-def contains_pairs(docs: DataFrame, items: DataFrame, doc_id: str, item_id: str, text: str = "text") -> DataFrame:
+def contains_pairs(docs: DataFrame, items: DataFrame, doc_id: str, item_id: str, text: str = "text", width: int = 8) -> DataFrame:
     """(doc_id, item_id) where a document's text contains an item's text.
 
     Items are a sealed set; up to ``CONTAINS_BROADCAST`` they are held as one array beside
-    each row, so no pair is made unless it matches. A larger set takes its first words as keys:
-    documents are cut into the same number of words at every place and joined on equal keys.
+    each row, so no pair is made unless it matches. In a larger set the first ``width``
+    characters are the key, which joins what documents hold at every place. Empty items are in
+    no document.
     """
-    few = items.where(F.col(text).isNotNull()).select(item_id, F.col(text).alias("_item"))
+    few = items.where(F.length(text) > 0).select(item_id, F.col(text).alias("_item"))
     if few.limit(CONTAINS_BROADCAST + 1).count() <= CONTAINS_BROADCAST:
         packed = few.agg(F.collect_list(F.struct(item_id, "_item")).alias("_items"))
         found = docs.join(F.broadcast(packed), how="left").select(doc_id, F.explode(F.filter("_items", lambda x: F.contains(F.col(text), x["_item"]))).alias("_x"))
         return found.select(doc_id, F.col(f"_x.{item_id}").alias(item_id))
-    width = 8
     keyed = few.withColumn("_k", F.substring("_item", 1, width)).where(F.length("_item") >= width)
-    short = few.where(F.length("_item") < width)
+    short = few.where(F.length("_item") < width).select(item_id, F.col("_item").alias(text))
     places = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text) - width + 1)), lambda i: F.substring(F.col(text), i, F.lit(width))))
     by_key = docs.select(doc_id, text, F.explode(places).alias("_k")).join(keyed, "_k").where(F.contains(F.col(text), F.col("_item"))).select(doc_id, item_id)
-    return by_key.unionByName(contains_pairs(docs, short, doc_id, item_id, text)) if short.limit(1).count() else by_key
+    return by_key.unionByName(contains_pairs(docs, short, doc_id, item_id, text, 1)) if short.limit(1).count() else by_key
 
 
 def feedback_reason(keys: Column, status: Column, passed: Column, total: Column, pass_rate: Column, failing_input: Column) -> Column:

@@ -26,7 +26,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     is split by nothing but its lines, numbered inside the file's own array, so a file is the
     unit of parallelism. Use ``scan_records`` where numbers aren't needed.
     """
-    whole = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\r?\n", -1)).alias("p", "line"))
+    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\r?\n", -1)).alias("p", "line"))
     return _judge(whole.select("file", (F.col("p") + 1).alias("line_no"), "line"))
 
 
