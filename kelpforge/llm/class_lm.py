@@ -155,11 +155,17 @@ class ClassModel:
     rare_total: int
     rare_distinct: int
 
-    def base_log(self, c: int) -> float:
-        return float(np.log10((c + _ADD) / (self.total + _ADD * (self.distinct + 1))))
-
-    def rare_log(self, c: int) -> float:
-        return float(np.log10((c + _ADD) / (self.rare_total + _ADD * (self.rare_distinct + 1))))
+    def tables(self) -> tuple[dict[bytes, int], np.ndarray, np.ndarray, np.ndarray]:
+        """(place of each head token, its base log10, its log10 in its class, its code), the last
+        entries for tokens outside the head: nothing yet, and the rare code."""
+        place = {t: i for i, t in enumerate(self.head)}
+        count = np.array(list(self.head.values()), dtype=float)
+        rare, bound = len(self.number), len(self.number) + 1
+        codes = np.array([bound if t == END else self.number.get(t, rare) for t in self.head] + [rare], dtype=np.int64)
+        base = np.log10((count + _ADD) / (self.total + _ADD * (self.distinct + 1)))
+        in_rare = np.log10((count + _ADD) / (self.rare_total + _ADD * (self.rare_distinct + 1)))
+        model = np.where(codes[:-1] == rare, in_rare, self.emission[codes[:-1]])
+        return place, np.r_[base, 0.0], np.r_[model, 0.0], codes
 
 
 def fit_class_lm(docs: DataFrame, class_words: int = 1500, n_classes: int = 48, head: int = 50_000) -> tuple[ClassModel, DataFrame]:
@@ -196,26 +202,18 @@ def score_class_lm(docs: DataFrame, model: ClassModel, counts: DataFrame) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         row = TaskContext.get().partitionId() << 33
-        rare, bound = len(m.number), len(m.number) + 1
+        place, base_logs, model_logs, codes_of = m.tables()
+        get = place.get
         for b in chunks(batches):
             out: dict[str, list] = {k: [] for k in ("row", "n_tokens", "n_known", "base", "model", "tail")}
             for t in b.column(1).to_pylist():
                 toks = tokens(t)
-                codes = np.fromiter((m.number.get(w, rare) for w in toks), dtype=np.int64, count=len(toks))
-                codes[-1] = bound
-                c = m.classes[codes]
-                score = m.transition[m.classes[bound], c[0]] + m.transition[c[:-1], c[1:]].sum() + m.emission[codes].sum()
-                base, known, tail = 0.0, 0, []
-                for w, n in Counter(toks).items():
-                    count = m.head.get(w)
-                    if count is None:
-                        tail.append({"token": w, "n": n})
-                        continue
-                    known += n
-                    base += n * m.base_log(count)
-                    if w not in m.number and w != END:
-                        score += n * m.rare_log(count)
-                for k, x in zip(out, (row, len(toks), known, base, float(score), tail)):
+                at = np.array([get(w, -1) for w in toks], dtype=np.int64)  # -1: the last entry of each table
+                c = m.classes[codes_of[at]]
+                model = m.transition[m.classes[-1], c[0]] + m.transition[c[:-1], c[1:]].sum() + model_logs[at].sum()
+                rest = np.flatnonzero(at < 0)
+                tail = [{"token": w, "n": n} for w, n in Counter([toks[i] for i in rest.tolist()]).items()]
+                for k, x in zip(out, (row, len(toks), len(toks) - len(rest), float(base_logs[at].sum()), float(model), tail)):
                     out[k].append(x)
                 row += 1
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())])))
