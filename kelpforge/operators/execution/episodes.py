@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kelpforge.functions.hashing import rank_key, stable_episode_id
 
 #: Behaviours in order of priority with their caps (null: none).
-PRIORITY = (("multi_round", 250), ("active_validation", 0), ("replay", None), ("direct_repair", None), ("direct_submission", None))
+PRIORITY = (("multiround", 250), ("pre_submit_active_validation", 0), ("post_submit_failure_replay", None), ("post_submit_direct_repair", None), ("direct_submission", None))
 
 
 def assign_behaviors(supply: DataFrame, caps: Sequence[tuple[str, int | None]] = PRIORITY, seed: int = 42) -> DataFrame:
@@ -33,7 +33,7 @@ def assign_behaviors(supply: DataFrame, caps: Sequence[tuple[str, int | None]] =
 
 
 def _message(role: str, content: Column, trainable: bool, name: Column | None = None, code: Column | None = None, given: Column | None = None) -> Column:
-    args = F.when(F.lit(code is not None), F.map_from_arrays(F.array(F.lit("code"), F.lit("input")), F.array(F.coalesce(code if code is not None else F.lit(None).cast("string"), F.lit("")), given if given is not None else F.lit(None).cast("string"))))
+    args = F.create_map(F.lit("code"), code) if code is not None else F.create_map(F.lit("input"), given) if given is not None else F.lit(None).cast("map<string,string>")
     return F.struct(
         F.lit(role).alias("role"),
         content.cast("string").alias("content"),
@@ -58,16 +58,16 @@ def build_messages(rows: DataFrame) -> DataFrame:
     """
     c = F.col
     user = _message("user", c("question"), False)
-    right = [_message("assistant", F.lit(""), True, F.lit("submit_code"), c("reference")), _message("tool", feedback_json(F.lit("accepted"), c("total"), c("total"), F.lit(None).cast("string")), False)]
-    seed = [_message("assistant", F.lit(""), False, F.lit("submit_code"), c("buggy")), _message("tool", feedback_json(c("status"), c("passed"), c("total"), c("failing_input")), False)]
-    look = lambda given: [_message("assistant", F.lit(""), True, F.lit("run_code"), c("buggy"), given), _message("tool", c("observation"), False)]
-    half = [_message("assistant", F.lit(""), True, F.lit("submit_code"), c("partial")), _message("tool", feedback_json(c("partial_status"), c("partial_passed"), c("total"), c("partial_input")), False)]
+    right = [_message("assistant", F.lit(""), True, F.lit("submit"), c("reference")), _message("tool", feedback_json(F.lit("accepted"), c("total"), c("total"), F.lit(None).cast("string")), False)]
+    seed = [_message("assistant", F.lit(""), False, F.lit("submit"), c("buggy")), _message("tool", feedback_json(c("status"), c("passed"), c("total"), c("failing_input")), False)]
+    look = lambda given: [_message("assistant", F.lit(""), True, F.lit("run_candidate"), given=given), _message("tool", c("observation"), False)]
+    half = [_message("assistant", F.lit(""), True, F.lit("submit"), c("partial")), _message("tool", feedback_json(c("partial_status"), c("partial_passed"), c("total"), c("partial_input")), False)]
     shapes = {
         "direct_submission": [user, *right],
-        "direct_repair": [user, *seed, *right],
-        "replay": [user, *seed, *look(c("failing_input")), *right],
-        "active_validation": [user, *look(c("probe")), *right],
-        "multi_round": [user, *seed, *look(c("failing_input")), *half, *right],
+        "post_submit_direct_repair": [user, *seed, *right],
+        "post_submit_failure_replay": [user, *seed, *look(c("failing_input")), *right],
+        "pre_submit_active_validation": [user, *look(c("probe")), *right],
+        "multiround": [user, *seed, *look(c("failing_input")), *half, *right],
     }
     messages = F.lit(None)
     for name, parts in shapes.items():
@@ -92,11 +92,11 @@ def episode_issues(episodes: DataFrame) -> DataFrame:
     nth = lambda i: F.element_at(m, i)
     follows = F.forall(F.sequence(F.lit(1), F.size(m)), lambda i: F.coalesce(F.element_at(m, i)["role"] != "assistant", F.lit(False)) | ((i < F.size(m)) & (F.element_at(m, F.least(i + 1, F.size(m)))["role"] == "tool")))
     rules = (
-        ("not_accepted", ~F.coalesce((nth(-2)["tool"] == "submit_code") & F.contains(nth(-1)["content"], F.lit('"status":"accepted"')), F.lit(False))),
+        ("not_accepted", ~F.coalesce((nth(-2)["tool"] == "submit") & F.contains(nth(-1)["content"], F.lit('"status":"accepted"')), F.lit(False))),
         ("call_without_observation", ~follows),
         ("trainable_role", F.exists(m, lambda x: x["trainable"] & (x["role"] != "assistant"))),
         ("nothing_trainable", ~F.exists(m, lambda x: x["trainable"])),
-        ("seed_trained", F.col("behavior").isin("direct_repair", "replay", "multi_round") & nth(2)["trainable"]),
+        ("seed_trained", F.col("behavior").isin("post_submit_direct_repair", "post_submit_failure_replay", "multiround") & nth(2)["trainable"]),
     )
     broken = F.array_compact(F.array(*[F.when(bad, F.lit(code)) for code, bad in rules]))
     return episodes.select("episode_id", F.explode(broken).alias("code"))

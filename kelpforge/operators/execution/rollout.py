@@ -62,15 +62,22 @@ def probe_inputs(programs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     return programs.select("program_id", "code", "reference", "hidden", "mode", "fn_name").mapInPandas(work, "program_id string, probe string")
 
 
-def _observe(code: str, given: str, mode: str, fn_name: str | None, limits: Limits) -> dict:
+def _observe(code: str | None, given: str, mode: str, fn_name: str | None, limits: Limits) -> dict:
+    """What a run of the current candidate shows; without one, an error and no run."""
+    if code is None:
+        return {"status": "invalid_input", "stdout": "", "error": "NoCandidate"}
     got, value = run_candidate(code, given, mode, fn_name, limits)
     shown = got.stdout if mode != "call" or value is None else json.dumps(value)
     return {"status": got.status, "stdout": shown, "error": got.exception}
 
 
 def rollout(problem: dict, start: list[dict], generate: Generate, seed: int, budget: tuple[int, int, int] = (6, 3, 3), limits: Limits = Limits()) -> dict:
-    """One conversation until acceptance or the end of a budget (actions, submits, runs)."""
+    """One conversation until acceptance or the end of a budget (actions, submits, runs).
+
+    A run executes the current candidate: the latest submit, or the one that the problem starts
+    with."""
     messages, submits, runs, last = list(start), 0, 0, None
+    candidate = problem.get("candidate")
     done: dict[str, dict] = {}
     turns: list[dict] = []
     for n in range(budget[0]):
@@ -83,11 +90,12 @@ def rollout(problem: dict, start: list[dict], generate: Generate, seed: int, bud
             turn["parse_error"] = str(e)
             return {"status": "invalid_action", "submits": submits, "runs": runs, "turns": turns, "feedback": last}
         turn["tool"], args = action["name"], action["arguments"]
-        if action["name"] == "submit_code":
+        if action["name"] == "submit":
             submits += 1
-            key = code_hash(args["code"])
+            candidate = args["code"]
+            key = code_hash(candidate)
             turn["duplicate"] = key in done
-            last = done.get(key) or grade_program(args["code"], problem["cases"], problem["mode"], problem["fn_name"], limits)
+            last = done.get(key) or grade_program(candidate, problem["cases"], problem["mode"], problem["fn_name"], limits)
             done[key] = turn["observation"] = last
             if last["status"] == "accepted":
                 return {"status": "solved", "submits": submits, "runs": runs, "turns": turns, "feedback": last}
@@ -97,7 +105,7 @@ def rollout(problem: dict, start: list[dict], generate: Generate, seed: int, bud
             runs += 1
             if runs > budget[2]:
                 return {"status": "run_budget", "submits": submits, "runs": runs, "turns": turns, "feedback": last}
-            turn["observation"] = _observe(args["code"], args["input"], problem["mode"], problem["fn_name"], limits)
+            turn["observation"] = _observe(candidate, args["input"], problem["mode"], problem["fn_name"], limits)
             turn["on_failing_input"] = bool(last) and inputs_equal(args["input"], last["failing_input"], problem["mode"])
         messages = [*messages, {"role": "assistant", "content": raw}, {"role": "tool", "content": json.dumps(turn["observation"])}]
     return {"status": "action_budget", "submits": submits, "runs": runs, "turns": turns, "feedback": last}
@@ -117,7 +125,7 @@ def evaluate_agents(problems: DataFrame, generate: Generate, seed: int = 0, budg
                 r["cases"] = [dict(c) for c in r["cases"]]
                 got = rollout(r, [{"role": "user", "content": r["question"]}], generate, seed, budget, limits)
                 t = got["turns"]
-                first = next((x["observation"]["status"] == "accepted" for x in t if x.get("tool") == "submit_code"), None)
+                first = next((x["observation"]["status"] == "accepted" for x in t if x.get("tool") == "submit"), None)
                 rows.append((r["id"], r["difficulty"], got["status"] == "solved", got["status"], len(t), got["submits"], got["runs"], first, first is False, sum(x.get("format") == "strict" for x in t), sum("format" in x for x in t), sum(bool(x.get("duplicate")) for x in t), time.monotonic() - began, json.dumps(t)))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in _RESULT.split(", ")])
 
@@ -170,19 +178,20 @@ def replay_issues(episodes: DataFrame, limits: Limits = Limits()) -> DataFrame:
                 if r.cases is None:
                     rows.append((r.episode_id, "replay_missing_problem", -1))
                     continue
-                cases, last = [dict(c) for c in r.cases], None
+                cases, last, current = [dict(c) for c in r.cases], None, None
                 for n, m in enumerate(json.loads(r.messages)):
                     if m["role"] != "assistant" or not m.get("call"):
                         continue
                     args, seen = m["call"]["arguments"], m.get("observation")
-                    if m["call"]["name"] == "submit_code":
+                    if m["call"]["name"] == "submit":
+                        current = args["code"]
                         one, two = (grade_program(args["code"], cases, r.mode, r.fn_name, limits) for _ in range(2))
                         if one != two:
                             rows.append((r.episode_id, "replay_unstable", n))
                         if one != seen:
                             rows.append((r.episode_id, "replay_feedback_mismatch", n))
                         last = one
-                    elif _observe(args["code"], args["input"], r.mode, r.fn_name, limits) != seen:
+                    elif _observe(current, args["input"], r.mode, r.fn_name, limits) != seen:
                         rows.append((r.episode_id, "replay_observation_mismatch", n))
                 if last is None or last["status"] != "accepted":
                     rows.append((r.episode_id, "replay_not_accepted", -1))

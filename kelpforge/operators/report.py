@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Rates that count as failing and as succeeding, and the gain that a run must bring.
+LOW, HIGH, GAIN = 1 / 3, 2 / 3, 1 / 3
+
+
 def manifest(df: DataFrame, dims: Sequence[str], pairs: Sequence[tuple[str, str]] = ()) -> DataFrame:
     """(dimension, value, n) for each single dimension and each pair, in one pass with
     grouping sets (one expand and one aggregate, however many dimensions)."""
@@ -62,12 +66,17 @@ def upper_median(values: Column) -> Column:
 
 
 def classify_post_submit(without_run: Column, with_run: Column) -> Column:
-    """The behaviour that paired success rates support: thresholds 2/3 and a gain of 1/3."""
-    return (
-        F.when(without_run >= 2 / 3, "direct_repair")
-        .when((with_run - without_run >= 1 / 3) & (with_run >= 2 / 3), "replay")
-        .otherwise("discard")
-    )
+    """The behaviour that paired success rates support after a failed submit."""
+    return F.when(without_run >= HIGH, "post_submit_direct_repair").when(_run_helps(without_run, with_run), "post_submit_failure_replay").otherwise("discard")
+
+
+def classify_pre_submit(without_run: Column, with_run: Column, provenance_valid: Column, executable: Column) -> Column:
+    """The behaviour before any submit: a proposed input must be valid, run, and help."""
+    return F.when(provenance_valid & executable & _run_helps(without_run, with_run), "pre_submit_active_validation").otherwise("discard")
+
+
+def _run_helps(without_run: Column, with_run: Column) -> Column:
+    return (without_run <= LOW) & (with_run >= HIGH) & (with_run - without_run >= GAIN)
 
 
 def rate(cond: Column, base: Column | None = None) -> Column:

@@ -26,13 +26,15 @@ def latest_before(cond: Column, value: Column, conv: str = "conv_id", turn: str
 
 def action_state(target: Column, failures: Column, runs: Column) -> Column:
     """The state of a supervised action by its history: submits that failed and runs so far."""
+    submit, run = target == "submit", target == "run_candidate"
     return (
-        F.when((target == "submit") & (failures == 0) & (runs == 0), "first_submit")
-        .when((target == "run") & (failures == 0), "run_before_submit")
-        .when((target == "submit") & (failures == 0), "submit_after_run")
-        .when((target == "run") & (failures == 1), "run_after_failure")
-        .when((target == "submit") & (failures == 1), "repair_submit")
-        .when(failures >= 2, "later_round")
+        F.when(submit & (failures == 0), "problem_submit")
+        .when(run & (failures == 1) & (runs == 0), "first_failure_run")
+        .when(submit & (failures == 1) & (runs == 0), "first_failure_direct_repair")
+        .when(submit & (failures == 1), "post_run_repair")
+        .when(run & (failures >= 2), "second_failure_run")
+        .when(submit & (failures >= 2) & (runs >= 2), "multiround_final_submit")
+        .when(failures >= 2, "post_run_repair")
         .otherwise("other")
     )
 

@@ -91,7 +91,7 @@ def code_episodes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _episodes(spark: SparkSession) -> DataFrame:
-    supply = spark.createDataFrame([("div", "direct_repair"), ("div", "replay"), ("sum", "direct_submission"), ("sum", "active_validation")], "problem_id string, behavior string")
+    supply = spark.createDataFrame([("div", "post_submit_direct_repair"), ("div", "post_submit_failure_replay"), ("sum", "direct_submission"), ("sum", "pre_submit_active_validation")], "problem_id string, behavior string")
     chosen = episodes.assign_behaviors(supply)
     bad = _DIV.replace("n % 4", "n % 3")
     rows = [
@@ -118,10 +118,10 @@ def scripted(messages: list[dict], seed: int) -> str:
     seen = [json.loads(m["content"]) for m in messages if m["role"] == "tool"]
     bad = _DIV.replace("n % 4", "n % 3")
     if not seen:
-        return _call("submit_code", code=bad)
+        return _call("submit", code=bad)
     if len(seen) == 1:
-        return "<response>" + _call("run_code", code=bad, input=seen[0]["failing_input"] or "") + "</response>"
-    return "<tool_call>" + _call("submit_code", code=_DIV) + "</tool_call>"
+        return "<response>" + _call("run_candidate", input=seen[0]["failing_input"] or "") + "</response>"
+    return "<tool_call>" + _call("submit", code=_DIV) + "</tool_call>"
 
 
 @query("code_agent_eval")
@@ -135,7 +135,7 @@ def code_agent_eval(spark: SparkSession, sf: str) -> DataFrame:
 def code_replay(spark: SparkSession, sf: str) -> DataFrame:
     wrong = {"status": "wrong_answer", "passed": 1, "total": 3, "pass_rate": 1 / 3, "failing_input": PROBLEMS[0][4][0][0]}
     right = {"status": "accepted", "passed": 3, "total": 3, "pass_rate": 1.0, "failing_input": None}
-    say = lambda code, seen: {"role": "assistant", "call": {"name": "submit_code", "arguments": {"code": code}}, "observation": seen}
+    say = lambda code, seen: {"role": "assistant", "call": {"name": "submit", "arguments": {"code": code}}, "observation": seen}
     bad = _DIV.replace("n % 4", "n % 3")
     eps = [("good", [say(bad, wrong), say(_DIV, right)]), ("lies", [say(bad, right)]), ("open", [say(bad, wrong)])]
     e = spark.createDataFrame([(i, json.dumps(m), "div") for i, m in eps] + [("lost", "[]", "gone")], "episode_id string, messages string, problem_id string")

@@ -54,7 +54,7 @@ def outcome_signature(spark: SparkSession, sf: str) -> DataFrame:
     "WITH k AS (SELECT event_type FROM (SELECT DISTINCT event_type FROM events) ORDER BY event_type LIMIT 2), "
     "r AS (SELECT user_id, count(*) FILTER (WHERE value > 50 AND event_type = (SELECT min(event_type) FROM k)) / nullif(count(*) FILTER (WHERE event_type = (SELECT min(event_type) FROM k)), 0)::DOUBLE AS without_run, "
     "count(*) FILTER (WHERE value > 50 AND event_type = (SELECT max(event_type) FROM k)) / nullif(count(*) FILTER (WHERE event_type = (SELECT max(event_type) FROM k)), 0)::DOUBLE AS with_run FROM events GROUP BY user_id) "
-    "SELECT user_id, without_run, with_run, with_run - without_run AS utility, CASE WHEN without_run >= 2e0/3 THEN 'direct_repair' WHEN with_run - without_run >= 1e0/3 AND with_run >= 2e0/3 THEN 'replay' ELSE 'discard' END AS behavior FROM r",
+    "SELECT user_id, without_run, with_run, with_run - without_run AS utility, CASE WHEN without_run >= 2e0/3 THEN 'post_submit_direct_repair' WHEN without_run <= 1e0/3 AND with_run - without_run >= 1e0/3 AND with_run >= 2e0/3 THEN 'post_submit_failure_replay' ELSE 'discard' END AS behavior FROM r",
 )
 def paired_utility(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events").select("user_id", "event_type", "value")

@@ -95,12 +95,12 @@ def test_replay_and_episode_issues(spark):
 def test_behaviors_by_priority_and_cap(spark):
     from kelpforge.operators.execution.episodes import assign_behaviors
 
-    rows = [(f"p{i}", b) for i in range(10) for b in ("multi_round", "direct_repair", "active_validation")]
-    got = assign_behaviors(spark.createDataFrame(rows, "problem_id string, behavior string"), (("multi_round", 4), ("active_validation", 0), ("direct_repair", None)))
-    assert sorted(r["behavior"] for r in got.collect()) == ["direct_repair"] * 6 + ["multi_round"] * 4
+    rows = [(f"p{i}", b) for i in range(10) for b in ("multiround", "post_submit_direct_repair", "pre_submit_active_validation")]
+    got = assign_behaviors(spark.createDataFrame(rows, "problem_id string, behavior string"), (("multiround", 4), ("pre_submit_active_validation", 0), ("post_submit_direct_repair", None)))
+    assert sorted(r["behavior"] for r in got.collect()) == ["multiround"] * 4 + ["post_submit_direct_repair"] * 6
 
 
 def test_scripted_agent_speaks_json():
     from kelpforge.plans.q_code import scripted
 
-    assert json.loads(scripted([], 0))["name"] == "submit_code"
+    assert json.loads(scripted([], 0))["name"] == "submit"

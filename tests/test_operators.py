@@ -118,7 +118,7 @@ def test_contains_pairs_both_ways(spark, monkeypatch, limit):
 def test_paired_thresholds(spark):
     df = spark.createDataFrame([(2 / 3, 0.0), (1 / 3, 2 / 3), (2 / 3, 1.0), (1 / 3, 1 / 3)], "a double, b double")
     got = [r[0] for r in df.select(report.classify_post_submit(F.col("a"), F.col("b"))).collect()]
-    assert got == ["direct_repair", "replay", "direct_repair", "discard"]
+    assert got == ["post_submit_direct_repair", "post_submit_failure_replay", "post_submit_direct_repair", "discard"]
 
 
 def test_percentile_definitions(spark):
@@ -128,6 +128,6 @@ def test_percentile_definitions(spark):
 
 
 def test_turn_states(spark):
-    df = spark.createDataFrame([("submit", 0, 0), ("run", 0, 0), ("submit", 0, 1), ("run", 1, 0), ("submit", 1, 1), ("run", 2, 1)], "t string, f int, r int")
+    df = spark.createDataFrame([("submit", 0, 1), ("run_candidate", 0, 0), ("run_candidate", 1, 0), ("submit", 1, 0), ("submit", 1, 2), ("run_candidate", 1, 1), ("run_candidate", 2, 1), ("submit", 2, 2), ("submit", 2, 1)], "t string, f int, r int")
     got = [r[0] for r in df.select(turns.action_state(F.col("t"), F.col("f"), F.col("r"))).collect()]
-    assert got == ["first_submit", "run_before_submit", "submit_after_run", "run_after_failure", "repair_submit", "later_round"]
+    assert got == ["problem_submit", "other", "first_failure_run", "first_failure_direct_repair", "post_run_repair", "other", "second_failure_run", "multiround_final_submit", "post_run_repair"]
