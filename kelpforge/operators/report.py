@@ -85,6 +85,12 @@ def rate(cond: Column, base: Column | None = None) -> Column:
     return F.try_divide(F.count_if(cond & base).cast("double"), F.count_if(base).cast("double"))
 
 
+def pearson(x: str, y: str) -> Column:
+    """The correlation of two columns; null where one of them doesn't vary."""
+    both = lambda c: F.when(F.col(x).isNotNull() & F.col(y).isNotNull(), F.col(c).cast("double"))
+    return F.try_divide(F.covar_pop(both(x), both(y)), F.stddev_pop(both(x)) * F.stddev_pop(both(y)))
+
+
 def budget_issues(totals: DataFrame, limits: dict[str, tuple[str, float]]) -> DataFrame:
     """(code, value, bound) of each limit (column, bound) of a one-row table that is exceeded."""
     rows = F.array(*[F.struct(F.lit(code).alias("code"), F.col(col).cast("double").alias("value"), F.lit(float(limit)).alias("bound")) for code, (col, limit) in limits.items()])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kelpforge.operators.report import budget_issues, classify_post_submit, grade_fold, manifest, midpoint_percentile, rate, upper_median
+from kelpforge.operators.report import budget_issues, classify_post_submit, grade_fold, manifest, midpoint_percentile, pearson, rate, upper_median
 from kelpforge.plans.catalog import query
 from kelpforge.session import table
 
@@ -92,7 +92,7 @@ def eval_summary(spark: SparkSession, sf: str) -> DataFrame:
 )
 def percentile_corr(spark: SparkSession, sf: str) -> DataFrame:
     j = table(spark, sf, "documents").select("doc_id", "lang", "n_chars").join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
-    return j.groupBy("lang").agg(F.percentile("n_chars", 0.95).alias("p95"), F.median("n_chars").alias("med"), F.avg(F.col("n_chars").cast("double")).alias("mean_chars"), F.corr("n_chars", "quality").alias("pearson"))
+    return j.groupBy("lang").agg(F.percentile("n_chars", 0.95).alias("p95"), F.median("n_chars").alias("med"), F.avg(F.col("n_chars").cast("double")).alias("mean_chars"), pearson("n_chars", "quality").alias("pearson"))
 
 
 @query(

@@ -131,3 +131,9 @@ def test_turn_states(spark):
     df = spark.createDataFrame([("submit", 0, 1), ("run_candidate", 0, 0), ("run_candidate", 1, 0), ("submit", 1, 0), ("submit", 1, 2), ("run_candidate", 1, 1), ("run_candidate", 2, 1), ("submit", 2, 2), ("submit", 2, 1)], "t string, f int, r int")
     got = [r[0] for r in df.select(turns.action_state(F.col("t"), F.col("f"), F.col("r"))).collect()]
     assert got == ["problem_submit", "other", "first_failure_run", "first_failure_direct_repair", "post_run_repair", "other", "second_failure_run", "multiround_final_submit", "post_run_repair"]
+
+
+def test_pearson_of_constants_is_null(spark):
+    df = spark.createDataFrame([("a", 1, 2), ("a", 2, 4), ("a", 3, 7), ("b", 1, 1), ("b", 1, 2)], "g string, x int, y int")
+    got = {r["g"]: r["p"] for r in df.groupBy("g").agg(report.pearson("x", "y").alias("p")).collect()}
+    assert got["b"] is None and got["a"] == pytest.approx(0.99339927)
