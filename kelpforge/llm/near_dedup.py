@@ -10,9 +10,10 @@ Two registers agree with the probability Jaccard of both sets.
 1. Rows of equal word sequences are one class; only one of them goes on.
 2. Signatures are cut into bands; texts that share a band are candidates. In each group a
    leader (the member that shares most bands with others, so the middle of a star of copies)
-   is compared with all members: a star, not all pairs. Members that fail against it meet the
-   next leaders, and those still open after ``LEADERS`` rounds meet every other member of their
-   group, so no candidate link between different texts is lost to the stars.
+   is compared with all members: a star, not all pairs. For members that aren't in the leader's
+   component afterwards, exact prefix filtering on their rarest shingles (``rare_token_pairs``)
+   finds every partner that can reach the threshold, without pairing a group's members with
+   each other. (With more ``leaders``, others that each band picks on its own come before that.)
 3. A pair is first screened by its signatures (standard deviation of the estimate at the
    threshold: 0.037; a pair goes if it is more than 0.2 below) and then verified: the exact
    probability Jaccard of both texts must reach the threshold.
@@ -33,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kelpforge.llm.common import chunks, map_arrow, only_ids, with_text
@@ -41,7 +42,7 @@ from kelpforge.llm.graph import components
 from kelpforge.llm.tokens import mix, shingle_hashes, word_hashes
 from kelpforge.session import materialize
 
-BANDS, ROWS, THRESHOLD, LEADERS = 24, 5, 0.8, 3
+BANDS, ROWS, THRESHOLD, LEADERS = 24, 5, 0.8, 1
 
 
 def weighted_shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -163,33 +164,87 @@ def verified(pairs: DataFrame, sigs: DataFrame, docs: DataFrame, threshold: floa
     return materialize(map_arrow(full, lambda it: _verify(it, threshold), "a long, b long, similarity double"), "links")
 
 
+def rare_token_pairs(tokens: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(a, b), a < b: all pairs of (doc_id, token, weight, open) that can reach the threshold and
+    of which one is open.
+
+    Exact prefix filtering: the weight that two sets share is at least their probability
+    Jaccard, seen from either. In one order of all tokens (rarest first) their first common
+    token thus stands, in both, before more than 1 - threshold of the weight has passed; only
+    such tokens are keys, and frequent ones rarely are.
+    """
+    df = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    by_doc = Window.partitionBy("doc_id")
+    past = by_doc.orderBy("df", "token").rowsBetween(Window.unboundedPreceding, -1)
+    prefix = tokens.join(df, "token").withColumns(
+        {
+            "before": F.coalesce(F.sum("weight").over(past), F.lit(0)),
+            "pos": F.count(F.lit(1)).over(past),
+            "total": F.sum("weight").over(by_doc),
+            "size": F.count(F.lit(1)).over(by_doc),
+            "plain": F.max("weight").over(by_doc) == 1,
+        }
+    )
+    keys = prefix.where((F.col("before") <= (1 - threshold) * F.col("total") + 1e-9) & (F.col("df") > 1))
+    keys = materialize(keys.select("token", "doc_id", "open", "pos", "size", "plain"), "rare")
+    side = lambda df_, x: df_.select("token", *(F.col(c).alias(f"{x}_{c}") for c in ("doc_id", "pos", "size", "plain")))
+    reach = F.least(F.col("x_size") - F.col("x_pos"), F.col("y_size") - F.col("y_pos")) >= threshold / (1 + threshold) * (F.col("x_size") + F.col("y_size")) - 1e-9
+    met = side(keys.where("open"), "x").join(side(keys, "y"), "token").where((F.col("x_doc_id") != F.col("y_doc_id")) & (reach | ~F.col("x_plain") | ~F.col("y_plain")))
+    return met.select(F.least("x_doc_id", "y_doc_id").alias("a"), F.greatest("x_doc_id", "y_doc_id").alias("b")).distinct()
+
+
+def open_tokens(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """(doc_id, token, weight, open) of the documents in ``members`` (doc_id, open)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in chunks(batches):
+            doc, h, w = weighted_shingles([t.encode() for t in b.column(1).to_pylist()])
+            ids = np.asarray(b.column(0))
+            yield pa.RecordBatch.from_arrays([pa.array(ids[doc]), pa.array(h.view(np.int64)), pa.array(w.astype(np.int64))], ["doc_id", "token", "weight"])
+
+    chosen = only_ids(docs, members.select("doc_id")).dropDuplicates(["doc_id"])
+    return map_arrow(chosen.select("doc_id", "text"), run, "doc_id long, token long, weight long").join(members, "doc_id")
+
+
 def near_links(docs: DataFrame, members: DataFrame, sigs: DataFrame, threshold: float = THRESHOLD, leaders: int = LEADERS) -> DataFrame:
-    """Verified links (a, b) among the members (band, doc_id) of band groups."""
+    """Verified links (a, b) among the members (band, doc_id) of band groups: enough of them for
+    the components of all links."""
     sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = materialize(members.join(sizes, "band"), "members")
     score = shared.groupBy("doc_id").agg(F.sum("n").alias("score"))
     pool = materialize(shared.join(score, "doc_id").select("band", "doc_id", "score"), "pool")
-    pending, seen, links = pool, None, None
+    pending, seen, links, labels = pool, None, None, None
     for round_ in range(leaders + 1):
         if pending.limit(1).count() == 0:
             break
         if round_ < leaders:
-            top = pool.groupBy("band").agg(F.max(F.struct("score", (-F.col("doc_id")).alias("id"))).alias("t")).select("band", (-F.col("t.id")).alias("leader"))
-        else:  # what is still open meets all others of its group
-            top = pool.select("band", F.col("doc_id").alias("leader"))
-        met = pending.join(top, "band").where("doc_id <> leader").select("band", "doc_id", F.least("doc_id", "leader").alias("a"), F.greatest("doc_id", "leader").alias("b"))
-        met = materialize(met, "met")
-        pairs = met.select("a", "b").distinct()
+            # the middle of the star first, then a member that each band picks on its own
+            rank = F.col("score") if round_ == 0 else F.xxhash64("band", "doc_id", F.lit(round_))
+            top = pool.groupBy("band").agg(F.max(F.struct(rank.alias("rank"), (-F.col("doc_id")).alias("id"))).alias("t")).select("band", (-F.col("t.id")).alias("leader"))
+            met = pending.join(top, "band").where("doc_id <> leader").select("band", "doc_id", "leader", F.least("doc_id", "leader").alias("a"), F.greatest("doc_id", "leader").alias("b"))
+            met = materialize(met, "met")
+            pairs = met.select("a", "b").distinct()
+        else:  # what is still open meets whatever else of the open groups can be alike
+            still = pending.select("doc_id").distinct().withColumn("open", F.lit(True))
+            rest = pool.select("doc_id").distinct().join(still, "doc_id", "left").select("doc_id", F.coalesce("open", F.lit(False)).alias("open"))
+            pairs = rare_token_pairs(open_tokens(docs, materialize(rest.unionByName(still).groupBy("doc_id").agg(F.max("open").alias("open")), "rest")), threshold)
         if seen is not None:
             pairs = pairs.join(seen, ["a", "b"], "left_anti")
+            side = lambda x: labels.select(F.col("doc_id").alias(x), F.col("label").alias(f"of_{x}"))  # noqa: E731, B023
+            apart = F.coalesce("of_a", "a") != F.coalesce("of_b", "b")
+            pairs = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left").where(apart).select("a", "b")
         pairs = materialize(pairs, "pairs")
         new = verified(pairs, sigs, docs, threshold).select("a", "b")
         links = new if links is None else links.unionByName(new)
         seen = pairs if seen is None else seen.unionByName(pairs)
         if round_ < leaders:
-            pending = materialize(met.join(links, ["a", "b"], "left_anti").select("band", "doc_id").join(pool, ["band", "doc_id"]), "pending")
-            open_bands = pending.select("band").distinct()
-            pool = materialize(pool.join(top, "band").where("doc_id <> leader").drop("leader").join(open_bands, "band", "left_semi"), "pool")
+            labels = components(links)
+            of = lambda x: labels.select(F.col("doc_id").alias(x), F.col("label").alias(f"of_{x}"))  # noqa: E731, B023
+            judged = met.join(of("doc_id"), "doc_id", "left").join(of("leader"), "leader", "left")
+            still = judged.where(F.coalesce("of_doc_id", "doc_id") != F.coalesce("of_leader", "leader")).select("band", "doc_id")
+            pending = materialize(still, "pending")
+            gone = top.select("band", F.col("leader").alias("doc_id"))
+            pool = materialize(pool.join(pending.select("band").distinct(), "band", "left_semi").join(gone, ["band", "doc_id"], "left_anti"), "pool")
     return links if links is not None else docs.sparkSession.createDataFrame([], "a long, b long")
 
 
