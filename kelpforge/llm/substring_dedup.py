@@ -15,8 +15,9 @@ subsequences. A window's signature is its minimum.
    pair of signatures becomes the key under which texts meet. Near-duplicate passages
    (similarity 0.8) share two of four signatures with probability 0.97, exact ones always,
    and longer passages have several independent chances.
-4. In each key's group all texts are compared with a leader, those that fail with the next,
-   and those still open with every other member: stars, not all pairs.
+4. In each key's group all texts are compared with a leader, and those that fail with a second
+   one: stars, not all pairs. For those still open, exact prefix filtering on the rarest tokens
+   of each stretch (``rare_places``) finds every partner that can share a passage.
 5. Verification on the tokens themselves: a passage is reported if it holds a stretch of
    ``LEAST`` tokens or more of which both texts share a Jaccard similarity of 0.8.
 
@@ -115,12 +116,21 @@ def windows(docs: DataFrame, hashes: int = HASHES, least: int = LEAST) -> DataFr
 
 
 def joined_windows(repeated: DataFrame, least: int = LEAST) -> DataFrame:
-    """(key, doc_id, lo, hi): overlaps of ``least`` tokens of windows of two different hashes."""
+    """(key, doc_id, lo, hi): overlaps of ``least`` tokens of windows of two different hashes.
+
+    Windows of one signature that overlap count as one: a text that repeats itself has many
+    equal minima whose windows lie over each other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for doc, ws in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ws = sorted((w["l"], w["r"], w["sig"]) for w in ws)
+                merged: list[list[int]] = []
+                for s, lo_, hi_ in sorted((w["sig"], w["l"], w["r"]) for w in ws):
+                    if merged and merged[-1][2] == s and lo_ <= merged[-1][1]:
+                        merged[-1][1] = max(hi_, merged[-1][1])
+                    else:
+                        merged.append([lo_, hi_, s])
+                ws = sorted(map(tuple, merged))
                 x, y, lo, hi = [], [], [], []
                 open_: list[tuple[int, int, int]] = []
                 for w in ws:
@@ -243,6 +253,56 @@ def repeated_windows(docs: DataFrame, hashes: int = HASHES, least: int = LEAST)
     return w.join(F.broadcast(sigs) if few else sigs.hint("merge"), "sig", "left_semi")
 
 
+def rare_places(docs: DataFrame, members: DataFrame, least: int = LEAST, threshold: float = THRESHOLD) -> DataFrame:
+    """(a, a_lo, a_hi, b, b_lo, b_hi): segments that can hold a shared passage, for every pair
+    of ``members`` (doc_id, open, w: array of lo, hi) of which one is open.
+
+    Exact prefix filtering: of the ``least`` tokens of a stretch at most ``least - need`` aren't
+    shared, so in one order of all tokens (rarest first) the first shared token is among the
+    ``least - need + 1`` rarest of the stretch, on both sides. Those tokens are the keys.
+    """
+    spare = least - ceil(round(2 * threshold / (1 + threshold) * least, 6)) + 1
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(b.num_rows):
+                doc, seq, ws = (b.column(i)[k].as_py() for i in range(3))
+                x = np.frombuffer(seq, dtype=np.int64)
+                at = np.unique(np.concatenate([np.arange(w["lo"], min(w["hi"] + 1, len(x))) for w in ws])) if ws else np.zeros(0, dtype=np.int64)
+                if len(at):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), doc)), pa.array(x[at]), pa.array(at)], ["doc_id", "token", "at"])
+
+    seqs = _token_seqs(only_ids(docs, members.select("doc_id"))).dropDuplicates(["doc_id"])
+    tokens = materialize(map_arrow(seqs.join(members, "doc_id").select("doc_id", "seq", "w"), places, "doc_id long, token long, at long"), "places")
+    df = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for doc, rows in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                rows.sort(key=lambda r: r["at"])
+                order = sorted(range(len(rows)), key=lambda i: (rows[i]["df"], rows[i]["token"], i))
+                rank = np.empty(len(rows), dtype=np.int64)
+                rank[order] = np.arange(len(rows))
+                keep: set[int] = set()
+                pos = np.array([r["at"] for r in rows])
+                for start in range(len(rows)):
+                    end = int(np.searchsorted(pos, pos[start] + least))
+                    if start and end == int(np.searchsorted(pos, pos[start - 1] + least)):
+                        continue  # the stretch before holds this one
+                    keep.update((start + np.argsort(rank[start:end])[:spare]).tolist())
+                got = [rows[i] for i in sorted(keep) if rows[i]["df"] > 1]
+                if got:
+                    yield pa.RecordBatch.from_arrays([pa.array([doc] * len(got), pa.int64()), pa.array([r["token"] for r in got], pa.int64()), pa.array([r["at"] for r in got], pa.int64())], ["doc_id", "token", "at"])
+
+    listed = tokens.join(df, "token").groupBy("doc_id").agg(F.collect_list(F.struct("at", "token", "df")).alias("rows"))
+    keys = materialize(map_arrow(listed, rarest, "doc_id long, token long, at long").join(members.select("doc_id", "open"), "doc_id"), "rare")
+    once = keys.groupBy("token", "doc_id").agg(F.min("at").alias("at"))
+    x = keys.where("open").select("token", F.col("doc_id").alias("b"), F.col("at").alias("b_at"))
+    y = once.select("token", F.col("doc_id").alias("a"), F.col("at").alias("a_at"))
+    near = lambda c, by: F.greatest(F.col(c) + by, F.lit(0)).cast("int")
+    return x.join(y, "token").where("a <> b").select("a", near("a_at", 1 - least).alias("a_lo"), near("a_at", least - 1).alias("a_hi"), "b", near("b_at", 1 - least).alias("b_lo"), near("b_at", least - 1).alias("b_hi"))
+
+
 def passage_links(docs: DataFrame, members: DataFrame, least: int = LEAST, threshold: float = THRESHOLD, leaders: int = 2) -> DataFrame:
     """Verified passages among texts that share keys; ``members`` (key, doc_id, lo, hi)."""
     sizes = members.groupBy("key").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("key")
@@ -251,22 +311,26 @@ def passage_links(docs: DataFrame, members: DataFrame, least: int = LEAST, thres
     for round_ in range(leaders + 1):
         if pending.limit(1).count() == 0:
             break
-        first = pool.groupBy("key", "doc_id").agg(F.min(F.struct("lo", "hi")).alias("s"))
         if round_ < leaders:
-            ids = pool.groupBy("key").agg((F.min if round_ % 2 == 0 else F.max)("doc_id").alias("a"))
-            lead = first.join(ids.withColumnRenamed("a", "doc_id"), ["key", "doc_id"])
-        else:
-            lead = first
-        lead = materialize(lead.select("key", F.col("doc_id").alias("a"), F.col("s.lo").alias("a_lo"), F.col("s.hi").alias("a_hi")), "leaders")
-        met = pending.join(lead, "key").where("doc_id <> a").select("key", "a", "a_lo", "a_hi", F.col("doc_id").alias("b"), F.col("lo").alias("b_lo"), F.col("hi").alias("b_hi"))
-        met = materialize(met, "met")
-        pairs = met if seen is None else met.join(seen, ["a", "b"], "left_anti")
+            pick = F.min("doc_id") if round_ == 0 else F.max_by("doc_id", F.xxhash64("key", "doc_id"))
+            ids = pool.groupBy("key").agg(pick.alias("doc_id"))
+            lead = pool.join(ids, ["key", "doc_id"]).groupBy("key", "doc_id").agg(F.min(F.struct("lo", "hi")).alias("s"))
+            lead = materialize(lead.select("key", F.col("doc_id").alias("a"), F.col("s.lo").alias("a_lo"), F.col("s.hi").alias("a_hi")), "leaders")
+            met = pending.join(lead, "key").where("doc_id <> a").select("key", "a", "a_lo", "a_hi", F.col("doc_id").alias("b"), F.col("lo").alias("b_lo"), F.col("hi").alias("b_hi"))
+            pairs = met = materialize(met, "met")
+        else:  # what is still open meets whatever else of the open groups can be alike
+            spans = lambda df, o: df.select("doc_id", F.struct("lo", "hi").alias("s"), F.lit(o).alias("open"))
+            rest = spans(pool, False).unionByName(spans(pending, True)).groupBy("doc_id").agg(F.max("open").alias("open"), F.collect_set("s").alias("w"))
+            pairs = rare_places(docs, materialize(rest, "rest"), least, threshold)
+        if seen is not None:
+            back = seen.select(F.col("b").alias("a"), F.col("a").alias("b"))
+            pairs = pairs.join(seen.unionByName(back), ["a", "b"], "left_anti")
         new = verified_passages(pairs, docs, least, threshold)
         links = new if links is None else links.unionByName(new)
-        done = met.select("a", "b").distinct()
-        seen = done if seen is None else seen.unionByName(done)
         if round_ < leaders:
-            linked = links.select("a", "b").distinct()
+            done = materialize(met.select("a", "b").distinct(), "done")
+            seen = done if seen is None else seen.unionByName(done)
+            linked = new.select("a", "b").distinct()
             still = met.join(linked, ["a", "b"], "left_anti").select("key", F.col("b").alias("doc_id"), F.col("b_lo").alias("lo"), F.col("b_hi").alias("hi")).distinct()
             pending = materialize(still, "pending")
             pool = pool.join(lead.select("key", F.col("a").alias("doc_id")), ["key", "doc_id"], "left_anti").join(pending.select("key").distinct(), "key", "left_semi")

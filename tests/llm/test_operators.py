@@ -362,3 +362,47 @@ def test_bpe_table_round_trip(spark, docs, odd, empty):
 
 def test_numpy_seed_is_not_global():
     assert np.array_equal(*(near_dedup.prob_minhash(np.zeros(3, int), np.arange(3).astype(np.uint64), np.ones(3, int), 1, 8) for _ in range(2)))
+
+
+def test_prefix_filter_loses_no_pair(spark):
+    r = random.Random(11)
+    sets = []
+    for i in range(60):
+        if i % 3 or not sets:
+            sets.append({r.randrange(300): r.randint(1, 3) for _ in range(30)})
+        else:
+            other = dict(r.choice(sets))
+            for k in r.sample(sorted(other), r.randint(0, 4)):
+                other.pop(k)
+            sets.append(other)
+    rows = [(i, k, w, i % 2 == 0) for i, s in enumerate(sets) for k, w in s.items()]
+    got = {(x["a"], x["b"]) for x in near_dedup.rare_token_pairs(spark.createDataFrame(rows, "doc_id long, token long, weight long, open boolean")).collect()}
+    arr = lambda z: (np.array(sorted(z), dtype=np.uint64), np.array([z[k] for k in sorted(z)]))
+    want = {(a, b) for a, b in itertools.combinations(range(60), 2) if near_dedup.probability_jaccard(*arr(sets[a]), *arr(sets[b])) >= 0.8}
+    assert want and {p for p in want if p[0] % 2 == 0 or p[1] % 2 == 0} <= got
+    assert all(a % 2 == 0 or b % 2 == 0 for a, b in got) and len(got) < 60 * 59 / 4
+
+
+def test_rare_places_lose_no_passage(spark):
+    r = random.Random(12)
+    common = [f"c{i}" for i in range(20)]
+    passage = [f"p{i}" for i in range(55)]
+    rows = {}
+    for i in range(30):
+        w = [f"u{i}_{k}" for k in range(60)] + common + [f"v{i}_{k}" for k in range(60)]
+        if i in (4, 17, 23):
+            at = r.randrange(40)
+            w[at:at] = passage
+        rows[i] = w
+    d = spark.createDataFrame([(i, " ".join(w)) for i, w in rows.items()], DOC)
+    m = spark.createDataFrame([(i, i == 17, [(0, 500)]) for i in rows], "doc_id long, open boolean, w array<struct<lo:int,hi:int>>")
+    found = substring_dedup.rare_places(d, m)
+    assert {r_["a"] for r_ in found.collect()} == {4, 23} and {r_["b"] for r_ in found.collect()} == {17}
+    assert {(x["a"], x["b"]) for x in substring_dedup.verified_passages(found, d).collect()} == {(4, 17), (23, 17)}
+
+
+def test_texts_that_repeat_themselves_stay_small(spark):
+    line = " ".join(f"w{i}" for i in range(12))
+    d = spark.createDataFrame([(1, " ".join([line] * 600)), (2, " ".join([line] * 500)), (3, "word " * 5000)], DOC)
+    got = {r["doc_id"]: r["n_words"] for r in substring_dedup.substring_dedup(d).collect()}
+    assert set(got) == {1, 2}
