@@ -15,8 +15,8 @@ subsequences. A window's signature is its minimum.
    pair of signatures becomes the key under which texts meet. Near-duplicate passages
    (similarity 0.8) share two of four signatures with probability 0.97, exact ones always,
    and longer passages have several independent chances.
-4. In each key's group all texts are compared with a leader, and those that fail with a second
-   one: stars, not all pairs. For those still open, exact prefix filtering on the rarest tokens
+4. In each key's group all texts are compared with a leader: a star, not all pairs. For those
+   that fail against it, exact prefix filtering on the rarest tokens
    of each stretch (``rare_places``) finds every partner that can share a passage.
 5. Verification on the tokens themselves: a passage is reported if it holds a stretch of
    ``LEAST`` tokens or more of which both texts share a Jaccard similarity of 0.8.
@@ -303,7 +303,7 @@ def rare_places(docs: DataFrame, members: DataFrame, least: int = LEAST, thresho
     return x.join(y, "token").where("a <> b").select("a", near("a_at", 1 - least).alias("a_lo"), near("a_at", least - 1).alias("a_hi"), "b", near("b_at", 1 - least).alias("b_lo"), near("b_at", least - 1).alias("b_hi"))
 
 
-def passage_links(docs: DataFrame, members: DataFrame, least: int = LEAST, threshold: float = THRESHOLD, leaders: int = 2) -> DataFrame:
+def passage_links(docs: DataFrame, members: DataFrame, least: int = LEAST, threshold: float = THRESHOLD, leaders: int = 1) -> DataFrame:
     """Verified passages among texts that share keys; ``members`` (key, doc_id, lo, hi)."""
     sizes = members.groupBy("key").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("key")
     pool = materialize(members.join(sizes, "key"), "members")
@@ -355,7 +355,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     copies = materialize(keyed.join(groups, "key"), "copies")
     others = materialize(copies.where("doc_id <> rep").select("doc_id").distinct(), "ids")
     reps = only_ids(plain, others, "left_anti")
-    members = joined_windows(repeated_windows(reps, hashes, least), least)
+    members = materialize(joined_windows(repeated_windows(reps, hashes, least), least), "joined")
     links = passage_links(reps, members, least, threshold)
     sides = [links.select(F.col(x).alias("doc_id"), F.col(f"{x}_lo").alias("s"), (F.col(f"{x}_hi") + SHINGLE).alias("e"), F.col(y).alias("partner")) for x, y in (("a", "b"), ("b", "a"))]
     whole = copies.select("doc_id", F.lit(0).cast("long").alias("s"), F.col("n").alias("e"), F.when(F.col("doc_id") == F.col("rep"), F.col("top")).otherwise(F.col("rep")).alias("partner"), (F.col("size") - 1).alias("links"))
