@@ -15,9 +15,9 @@ subsequences. A window's signature is its minimum.
    pair of signatures becomes the key under which texts meet. Near-duplicate passages
    (similarity 0.8) share two of four signatures with probability 0.97, exact ones always,
    and longer passages have several independent chances.
-4. In each key's group all texts are compared with a leader: a star, not all pairs. For those
-   that fail against it, exact prefix filtering on the rarest tokens
-   of each stretch (``rare_places``) finds every partner that can share a passage.
+4. In each key's group all places are compared with a leader's: a star, not all pairs. Only
+   what was verified at a place is closed there; for every stretch left open, exact prefix
+   filtering on its rarest tokens (``rare_places``) finds every partner that can share a passage.
 5. Verification on the tokens themselves: a passage is reported if it holds a stretch of
    ``LEAST`` tokens or more of which both texts share a Jaccard similarity of 0.8.
 
@@ -255,87 +255,114 @@ def repeated_windows(docs: DataFrame, hashes: int = HASHES, least: int = LEAST)
 
 def rare_places(docs: DataFrame, members: DataFrame, least: int = LEAST, threshold: float = THRESHOLD) -> DataFrame:
     """(a, a_lo, a_hi, b, b_lo, b_hi): segments that can hold a shared passage, for every pair
-    of ``members`` (doc_id, open, w: array of lo, hi) of which one is open.
+    of places of ``members`` (doc_id, open, w: array of lo, hi) of which the second is open; a
+    text may have one row of open places and one of others.
 
     Exact prefix filtering: of the ``least`` tokens of a stretch at most ``least - need`` aren't
     shared, so in one order of all tokens (rarest first) the first shared token is among the
-    ``least - need + 1`` rarest of the stretch, on both sides. Those tokens are the keys.
+    ``least - need + 1`` rarest of the stretch, on both sides. Those tokens are the keys. All
+    places of a key count; those whose surroundings overlap are one segment.
     """
-    spare = least - ceil(round(2 * threshold / (1 + threshold) * least, 6)) + 1
+    spare = spare_tokens(least, threshold)
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(b.num_rows):
-                doc, seq, ws = (b.column(i)[k].as_py() for i in range(3))
+                doc, open_, seq, ws = (b.column(i)[k].as_py() for i in range(4))
                 x = np.frombuffer(seq, dtype=np.int64)
-                at = np.unique(np.concatenate([np.arange(w["lo"], min(w["hi"] + 1, len(x))) for w in ws])) if ws else np.zeros(0, dtype=np.int64)
+                edge = np.zeros(len(x) + 1, dtype=np.int64)
+                for w in ws:
+                    if w["lo"] < len(x):
+                        edge[w["lo"]] += 1
+                        edge[min(w["hi"] + 1, len(x))] -= 1
+                at = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
                 if len(at):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), doc)), pa.array(x[at]), pa.array(at)], ["doc_id", "token", "at"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), doc)), pa.array(np.full(len(at), open_)), pa.array(x[at]), pa.array(at)], ["doc_id", "open", "token", "at"])
 
-    seqs = _token_seqs(only_ids(docs, members.select("doc_id"))).dropDuplicates(["doc_id"])
-    tokens = materialize(map_arrow(seqs.join(members, "doc_id").select("doc_id", "seq", "w"), places, "doc_id long, token long, at long"), "places")
-    df = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    seqs = _token_seqs(only_ids(docs, members.select("doc_id").distinct())).dropDuplicates(["doc_id"])
+    tokens = materialize(map_arrow(seqs.join(members, "doc_id").select("doc_id", "open", "seq", "w"), places, "doc_id long, open boolean, token long, at long"), "places")
+    df = tokens.groupBy("token").agg(F.when(F.min("doc_id") < F.max("doc_id"), F.count(F.lit(1))).otherwise(F.lit(1)).alias("df"))
 
     def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for doc, rows in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                rows.sort(key=lambda r: r["at"])
-                order = sorted(range(len(rows)), key=lambda i: (rows[i]["df"], rows[i]["token"], i))
-                rank = np.empty(len(rows), dtype=np.int64)
-                rank[order] = np.arange(len(rows))
-                keep: set[int] = set()
-                pos = np.array([r["at"] for r in rows])
-                for start in range(len(rows)):
-                    end = int(np.searchsorted(pos, pos[start] + least))
-                    if start and end == int(np.searchsorted(pos, pos[start - 1] + least)):
-                        continue  # the stretch before holds this one
-                    keep.update((start + np.argsort(rank[start:end])[:spare]).tolist())
-                got = [rows[i] for i in sorted(keep) if rows[i]["df"] > 1]
-                if got:
-                    yield pa.RecordBatch.from_arrays([pa.array([doc] * len(got), pa.int64()), pa.array([r["token"] for r in got], pa.int64()), pa.array([r["at"] for r in got], pa.int64())], ["doc_id", "token", "at"])
-
-    listed = tokens.join(df, "token").groupBy("doc_id").agg(F.collect_list(F.struct("at", "token", "df")).alias("rows"))
-    keys = materialize(map_arrow(listed, rarest, "doc_id long, token long, at long").join(members.select("doc_id", "open"), "doc_id"), "rare")
-    once = keys.groupBy("token", "doc_id").agg(F.min("at").alias("at"))
-    x = keys.where("open").select("token", F.col("doc_id").alias("b"), F.col("at").alias("b_at"))
-    y = once.select("token", F.col("doc_id").alias("a"), F.col("at").alias("a_at"))
-    near = lambda c, by: F.greatest(F.col(c) + by, F.lit(0)).cast("int")
-    return x.join(y, "token").where("a <> b").select("a", near("a_at", 1 - least).alias("a_lo"), near("a_at", least - 1).alias("a_hi"), "b", near("b_at", 1 - least).alias("b_lo"), near("b_at", least - 1).alias("b_hi"))
-
-
-def passage_links(docs: DataFrame, members: DataFrame, least: int = LEAST, threshold: float = THRESHOLD, leaders: int = 1) -> DataFrame:
-    """Verified passages among texts that share keys; ``members`` (key, doc_id, lo, hi)."""
-    sizes = members.groupBy("key").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("key")
-    pool = materialize(members.join(sizes, "key"), "members")
-    pending, seen, links = pool, None, None
-    for round_ in range(leaders + 1):
-        if pending.limit(1).count() == 0:
-            break
-        if round_ < leaders:
-            pick = F.min("doc_id") if round_ == 0 else F.max_by("doc_id", F.xxhash64("key", "doc_id"))
-            ids = pool.groupBy("key").agg(pick.alias("doc_id"))
-            lead = pool.join(ids, ["key", "doc_id"]).groupBy("key", "doc_id").agg(F.min(F.struct("lo", "hi")).alias("s"))
-            lead = materialize(lead.select("key", F.col("doc_id").alias("a"), F.col("s.lo").alias("a_lo"), F.col("s.hi").alias("a_hi")), "leaders")
-            met = pending.join(lead, "key").where("doc_id <> a").select("key", "a", "a_lo", "a_hi", F.col("doc_id").alias("b"), F.col("lo").alias("b_lo"), F.col("hi").alias("b_hi"))
-            pairs = met = materialize(met, "met")
-        else:  # what is still open meets whatever else of the open groups can be alike
-            spans = lambda df, o: df.select("doc_id", F.struct("lo", "hi").alias("s"), F.lit(o).alias("open"))
-            rest = spans(pool, False).unionByName(spans(pending, True)).groupBy("doc_id").agg(F.max("open").alias("open"), F.collect_set("s").alias("w"))
-            pairs = rare_places(docs, materialize(rest, "rest"), least, threshold)
-        if seen is not None:
-            back = seen.select(F.col("b").alias("a"), F.col("a").alias("b"))
-            pairs = pairs.join(seen.unionByName(back), ["a", "b"], "left_anti")
-        new = verified_passages(pairs, docs, least, threshold)
-        links = new if links is None else links.unionByName(new)
-        if round_ < leaders:
-            done = materialize(met.select("a", "b").distinct(), "done")
-            seen = done if seen is None else seen.unionByName(done)
-            linked = new.select("a", "b").distinct()
-            still = met.join(linked, ["a", "b"], "left_anti").select("key", F.col("b").alias("doc_id"), F.col("b_lo").alias("lo"), F.col("b_hi").alias("hi")).distinct()
-            pending = materialize(still, "pending")
-            pool = pool.join(lead.select("key", F.col("a").alias("doc_id")), ["key", "doc_id"], "left_anti").join(pending.select("key").distinct(), "key", "left_semi")
-            pool = materialize(pool, "pool")
-    return links if links is not None else docs.sparkSession.createDataFrame([], "a long, b long, a_lo long, a_hi long, b_lo long, b_hi long")
+            for k in range(b.num_rows):
+                doc, open_ = b.column(0)[k].as_py(), b.column(1)[k].as_py()
+                rows = b.column(2)[k].values
+                pos, token, n = (np.asarray(rows.field(c)) for c in ("at", "token", "df"))
+                by = np.argsort(pos)
+                pos, token, n = pos[by], token[by], n[by]
+                rank = np.empty(len(pos), dtype=np.int64)
+                rank[np.lexsort((pos, token, n))] = np.arange(len(pos))
+                keep = np.zeros(len(pos), dtype=bool)
+                for run in np.split(np.arange(len(pos)), np.flatnonzero(np.diff(pos) > 1) + 1):
+                    width = min(least, len(run))
+                    stretches = np.lib.stride_tricks.sliding_window_view(rank[run], width)
+                    for s in range(0, len(stretches), 4096):
+                        part = stretches[s : s + 4096]
+                        first = np.argpartition(part, min(spare, width) - 1, axis=1)[:, :spare]
+                        keep[run[0] + s + (first + np.arange(len(part))[:, None]).ravel()] = True
+                keep &= n > 1
+                got = np.lexsort((pos[keep], token[keep]))
+                t, p = token[keep][got], pos[keep][got]
+                if len(t):
+                    new = np.flatnonzero(np.r_[True, (t[1:] != t[:-1]) | (p[1:] - p[:-1] >= 2 * least - 1)])
+                    last = np.r_[new[1:], len(t)] - 1
+                    cols = [np.full(len(new), doc), np.full(len(new), open_), t[new], np.maximum(p[new] - least + 1, 0), p[last] + least - 1]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["doc_id", "open", "token", "lo", "hi"])
+
+    listed = tokens.join(df, "token").groupBy("doc_id", "open").agg(F.collect_list(F.struct("at", "token", "df")).alias("rows"))
+    keys = materialize(map_arrow(listed, rarest, "doc_id long, open boolean, token long, lo long, hi long"), "rare")
+    side = lambda df_, x: df_.select("token", F.col("doc_id").alias(x), *(F.col(c).cast("int").alias(f"{x}_{c}") for c in ("lo", "hi")))
+    met = side(keys.where("open"), "b").join(side(keys, "a"), "token").where("a <> b")
+    return met.select("a", "a_lo", "a_hi", "b", "b_lo", "b_hi")
+
+
+def spare_tokens(least: int, threshold: float) -> int:
+    """Of ``least`` tokens, how many must be looked at until one of them is surely shared."""
+    return least - ceil(round(2 * threshold / (1 + threshold) * least, 6)) + 1
+
+
+def open_stretches(met: DataFrame, passages: DataFrame, least: int, threshold: float) -> DataFrame:
+    """(key, doc_id, lo, hi): what the passages verified between a and b leave open of the places
+    of ``met`` (key, a, b, b_lo, b_hi): every stretch of ``least`` tokens inside a place with
+    more tokens outside the passages than two alike stretches may differ in."""
+    spare = spare_tokens(least, threshold)
+    found = passages.groupBy("a", "b").agg(F.sort_array(F.collect_set(F.struct(F.col("b_lo").cast("int").alias("s"), F.col("b_hi").cast("int").alias("e")))).alias("done"))
+    # the end of the place closes the last gap
+    gaps = F.expr(
+        f"""aggregate(concat(coalesce(done, cast(array() as array<struct<s:int,e:int>>)), array(named_struct('s', b_hi + 1, 'e', b_hi + 1))),
+        named_struct('at', b_lo, 'gaps', cast(array() as array<struct<lo:int,hi:int>>)),
+        (x, p) -> named_struct('at', greatest(x.at, p.e + 1),
+            'gaps', if(least(p.s, b_hi + 1) - x.at >= {spare}, concat(x.gaps, array(named_struct('lo', x.at, 'hi', least(p.s, b_hi + 1) - 1))), x.gaps)),
+        x -> x.gaps)"""
+    )
+    reach = least - spare
+    left = met.join(found, ["a", "b"], "left").withColumn("g", F.explode(gaps))
+    left = left.select("key", F.col("b").alias("doc_id"), F.greatest("b_lo", F.col("g.lo") - reach).alias("lo"), F.least("b_hi", F.col("g.hi") + reach).alias("hi"))
+    return left.where(F.col("hi") - F.col("lo") + 1 >= least).distinct()
+
+
+def passage_links(docs: DataFrame, members: DataFrame, least: int = LEAST, threshold: float = THRESHOLD) -> DataFrame:
+    """Verified passages among texts that share keys; ``members`` (key, doc_id, lo, hi).
+
+    Each place of a key's group is compared with the first place of the group's leader. Only
+    the stretches verified there are closed; all others, and the leader's further places,
+    meet every place of the group's texts that can be alike."""
+    sizes = members.groupBy("key").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("y")).where("leader < y").select("key", "leader")
+    pool = materialize(members.select("key", "doc_id", F.col("lo").cast("int").alias("lo"), F.col("hi").cast("int").alias("hi")).join(sizes, "key"), "members")
+    own = pool.where("doc_id = leader")
+    lead = materialize(own.groupBy("key", "doc_id").agg(F.min(F.struct("lo", "hi")).alias("s")).select("key", F.col("s.lo").alias("a_lo"), F.col("s.hi").alias("a_hi")), "leaders")
+    met = pool.where("doc_id <> leader").join(lead, "key").select("key", F.col("leader").alias("a"), "a_lo", "a_hi", F.col("doc_id").alias("b"), F.col("lo").alias("b_lo"), F.col("hi").alias("b_hi"))
+    met = materialize(met, "met")
+    links = verified_passages(met, docs, least, threshold)
+    further = own.join(lead, "key").where("lo <> a_lo OR hi <> a_hi").select("key", "doc_id", "lo", "hi")
+    pending = materialize(open_stretches(met, links, least, threshold).unionByName(further), "pending")
+    if pending.limit(1).count() == 0:
+        return links
+    rest = pool.join(pending.select("key").distinct(), "key", "left_semi")
+    spans = lambda df, o: df.select("doc_id", F.lit(o).alias("open"), F.struct("lo", "hi").alias("s"))
+    places = spans(rest, False).unionByName(spans(pending, True)).groupBy("doc_id", "open").agg(F.collect_set("s").alias("w"))
+    return links.unionByName(verified_passages(rare_places(docs, materialize(places, "rest"), least, threshold), docs, least, threshold))
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", passage_words: int = PASSAGE_WORDS, threshold: float = THRESHOLD, hashes: int = HASHES) -> DataFrame:

@@ -406,3 +406,28 @@ def test_texts_that_repeat_themselves_stay_small(spark):
     d = spark.createDataFrame([(1, " ".join([line] * 600)), (2, " ".join([line] * 500)), (3, "word " * 5000)], DOC)
     got = {r["doc_id"]: r["n_words"] for r in substring_dedup.substring_dedup(d).collect()}
     assert set(got) == {1, 2}
+
+
+def test_a_link_at_one_place_closes_no_other_place(spark):
+    r = random.Random(21)
+    make = lambda n, x: [f"{x}{r.randrange(10**6)}" for _ in range(n)]
+    hot, passage = make(80, "h"), make(60, "p")
+    bad = [w if k % 9 else f"bad{k}" for k, w in enumerate(passage)]
+    far = lambda i: make(150, f"x{i}q")
+    rows = {i: far(i) + hot + far(i) + (bad if i == 1 else passage) + far(i) for i in (1, 2, 3)}
+    d = spark.createDataFrame([(i, " ".join(w)) for i, w in rows.items()], DOC)
+    # one key stands at the hot passage, another at the passage whose leader holds a variant
+    at = lambda s, n: (s - 20, s + n + 10)
+    m = [(7, i, *at(150, 80)) for i in rows] + [(8, i, *at(380, 60)) for i in rows]
+    links = substring_dedup.passage_links(d, spark.createDataFrame(m, "key long, doc_id long, lo int, hi int")).collect()
+    pairs = {(min(x["a"], x["b"]), max(x["a"], x["b"])) for x in links if x["b_lo"] >= 340}
+    assert (2, 3) in pairs and not any(1 in p for p in pairs)
+
+
+def test_further_places_of_a_leader_are_found(spark):
+    r = random.Random(22)
+    make = lambda n: [f"w{r.randrange(10**6)}" for _ in range(n)]
+    passage = make(60)
+    d = spark.createDataFrame([(1, " ".join(make(100) + passage + make(200) + passage + make(50))), (2, " ".join(make(30) + passage + make(100)))], DOC)
+    got = [(x["doc_id"], x["start_word"], x["end_word"]) for x in substring_dedup.substring_dedup(d).collect()]
+    assert sorted(got) == [(1, 100, 160), (1, 360, 420), (2, 30, 90)]
