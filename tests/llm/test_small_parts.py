@@ -214,3 +214,12 @@ def test_swaps_hold_identity_terms_equal():
 def test_tokens_of_the_language_model():
     assert class_lm.tokens(" A\tb\x0b C ") == [b"a", b"b", " c".encode(), class_lm.END]
     assert class_lm.tokens("") == [class_lm.END] and Counter(class_lm.tokens("x x"))[b"x"] == 2
+
+
+def test_long_attribute_values_stay_attributes():
+    p = "<p>" + "A sentence of an article, of some length. " * 6 + "</p>"
+    body = " ".join(("A sentence of an article, of some length. " * 6).split())
+    for n in (9_000, 10_500, 300_000):
+        for q in "\"'":
+            value = "x" * n + "<b>oops</b>"
+            assert html_extract.main_text(f"<article><div data-x={q}{value}{q}>{p}</div><div data-x={q}{value}{q} class=menu>m</div></article>") == body
