@@ -3,18 +3,23 @@
 Tokens are runs of other characters than ASCII white space, A-Z lower-cased, and one end of
 text. Counts of all tokens over all training texts are a table that grows with the corpus.
 
-* The ``class_words`` most frequent words get one of ``n_classes`` classes by exchange
-  clustering: each word in turn moves to the class that raises the likelihood of the class
-  bigrams most, until no word moves. Their bigram counts are bounded by the size of this
-  vocabulary. The end of a text and all rarer words are classes of their own.
-* log10 P(text) = sum of log10 P(class | previous class) + log10 P(word | class). Transitions
-  are smoothed towards the classes' shares; a word of the rare class has
-  (c + 0.1) / (N_rare + 0.1 (V_rare + 1)), unseen words included.
-
-Scoring needs the count of every token of every text. The ``head`` most frequent tokens (a
-bounded table) are looked up where the text is read, so frequent tokens are never shuffled;
+* The ``class_words`` most frequent words (the seeds) get one of ``n_classes`` classes by
+  exchange clustering: each word in turn moves to the class that raises the likelihood of the
+  class bigrams most, until no word moves.
+* Every further word of ``least_count`` occurrences gets the class that its counts of seed
+  classes before and after it make most likely; these counts are a table by word. Unless given,
+  the number of classes is the cube root of the number of such words (48 at least), and ten
+  seeds a class (1,500 at least): both grow with the corpus. The end of a text and the words
+  below ``least_count`` are classes of their own.
+* log10 P(text) = sum of log10 P(class | previous class) + log10 P(word | class), with class
+  pairs counted over the classes of all words. Transitions are smoothed towards the classes'
+  shares; a word of the rare class has (c + 0.1) / (N_rare + 0.1 (V_rare + 1)), unseen words
+  included.
+
+Scoring needs count and class of every token of every text. The ``head`` most frequent tokens
+(a bounded table) are looked up where the text is read, so frequent tokens are never shuffled;
 the remaining ones, none of which holds more than 1/head of all tokens, are joined with the
-count table by token and summed up by text.
+table of all words by token and put back at their places of the text's class sequence.
 
 Defined cases: null or empty texts consist of the end alone; an empty training set gives
 N = V = 0 and scores of log10(1); repeated rows and null ids give a row each (a null id is
@@ -26,6 +31,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -143,39 +149,88 @@ def exchange(bigrams: np.ndarray, n_classes: int, sweeps: int = 20) -> np.ndarra
 
 @dataclass
 class ClassModel:
-    """What a worker needs: head counts, classes, log10 tables."""
+    """What a worker needs: counts and classes of the head, log10 tables by class."""
 
     total: int
     distinct: int
     head: dict[bytes, int]
-    number: dict[bytes, int]
     classes: np.ndarray
     transition: np.ndarray
     emission: np.ndarray
-    rare_total: int
-    rare_distinct: int
-
-    def tables(self) -> tuple[dict[bytes, int], np.ndarray, np.ndarray, np.ndarray]:
-        """(place of each head token, its base log10, its log10 in its class, its code), the last
-        entries for tokens outside the head: nothing yet, and the rare code."""
-        place = {t: i for i, t in enumerate(self.head)}
-        count = np.array(list(self.head.values()), dtype=float)
-        rare, bound = len(self.number), len(self.number) + 1
-        codes = np.array([bound if t == END else self.number.get(t, rare) for t in self.head] + [rare], dtype=np.int64)
-        base = np.log10((count + _ADD) / (self.total + _ADD * (self.distinct + 1)))
-        in_rare = np.log10((count + _ADD) / (self.rare_total + _ADD * (self.rare_distinct + 1)))
-        model = np.where(codes[:-1] == rare, in_rare, self.emission[codes[:-1]])
-        return place, np.r_[base, 0.0], np.r_[model, 0.0], codes
-
-
-def fit_class_lm(docs: DataFrame, class_words: int = 1500, n_classes: int = 48, head: int = 50_000) -> tuple[ClassModel, DataFrame]:
-    """(model, table of all counts) from training rows (doc_id, text)."""
+
+    def base(self, n: np.ndarray) -> np.ndarray:
+        return np.log10((n + _ADD) / (self.total + _ADD * (self.distinct + 1)))
+
+
+def class_contexts(docs: DataFrame, number: dict[bytes, int], code: np.ndarray) -> DataFrame:
+    """(token, f, n): of each word outside ``number``, how often it stands between which classes;
+    ``f`` is the class before * number of classes + the class after. Partitioned by token."""
+    shared = docs.sparkSession.sparkContext.broadcast((number, code))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seeds, cls = shared.value
+        rare, bound, width = len(seeds), len(seeds) + 1, int(cls.max()) + 1
+        seen: Counter = Counter()
+
+        def flush() -> pa.RecordBatch:
+            got = pa.RecordBatch.from_arrays([pa.array([t for t, _ in seen], pa.binary()), pa.array([f for _, f in seen], pa.int64()), pa.array(list(seen.values()), pa.int64())], ["token", "f", "n"])
+            seen.clear()
+            return got
+
+        for b in chunks(batches):
+            words = [END]
+            for t in b.column(1).to_pylist():
+                words += tokens(t)
+            x = np.array([bound if w == END else seeds.get(w, rare) for w in words], dtype=np.int64)
+            at = np.flatnonzero(x == rare)
+            f = cls[x[at - 1]] * width + cls[x[at + 1]]  # a text's end stands on either side
+            seen.update(zip([words[i] for i in at.tolist()], f.tolist()))
+            if len(seen) > 300_000:
+                yield flush()
+        yield flush()
+
+    return map_arrow(docs.select("doc_id", "text"), run, "token binary, f long, n long").repartition("token").groupBy("token", "f").agg(F.sum("n").alias("n"))
+
+
+def further_classes(contexts: DataFrame, counts: DataFrame, transition: np.ndarray, own: np.ndarray, least_count: int) -> DataFrame:
+    """(token, cls) of the words of ``contexts`` that occur ``least_count`` times: the class that
+    makes the word and its neighbours' classes most likely."""
+    width, k = len(transition), len(transition) - 2
+    before, after, size = transition[:, :k].copy(), transition[:k].T.copy(), np.log10(np.maximum(own[:k], 1))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            lists = b.column(1)
+            at = np.asarray(lists.offsets) - lists.offsets[0].as_py()
+            f, n = (np.asarray(lists.flatten().field(c)) for c in ("f", "n"))
+            cls = []
+            for i, j in zip(at[:-1], at[1:]):
+                x, c = f[i:j], n[i:j].astype(float)
+                cls.append(int(np.argmax(c @ (before[x // width] + after[x % width] - size))))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cls, pa.int32())], ["token", "cls"])
+
+    often = counts.where(F.col("n") >= least_count).select("token")
+    lists = contexts.join(often, "token").groupBy("token").agg(F.collect_list(F.struct("f", "n")).alias("c"))
+    return map_arrow(lists, run, "token binary, cls int")
+
+
+def smoothed(n: np.ndarray) -> np.ndarray:
+    """log10 P(class | previous class) from the counts of class pairs."""
+    share = (n.sum(axis=0) + 1) / (n.sum() + n.shape[0])
+    return np.log10((n + 5 * share) / (n.sum(axis=1, keepdims=True) + 5))
+
+
+def fit_classes(docs: DataFrame, class_words: int | None = None, n_classes: int | None = None, head: int = 50_000, least_count: int = 3) -> tuple[ClassModel, DataFrame]:
+    """(model without transitions, table of token, n, cls) from training rows (doc_id, text)."""
     counts = materialize(token_counts(docs), "tokens")
-    n_all, v_all = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("token")).first()
-    top = [(bytes(r["token"]), r["n"]) for r in counts.orderBy(F.desc("n"), "token").limit(head).collect()]
-    vocab = [t for t, _ in top if t != END][:class_words]
-    number = {t: i for i, t in enumerate(vocab)}
-    rare, bound = len(vocab), len(vocab) + 1
+    n_all, v_all, v_often = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("token"), F.count(F.when(F.col("n") >= least_count, 1))).first()
+    n_classes = n_classes or max(48, ceil(v_often ** (1 / 3)))
+    class_words = class_words or max(1500, 10 * n_classes)
+    seeds = [bytes(r["token"]) for r in counts.where(F.col("token") != F.lit(bytearray(END))).orderBy(F.desc("n"), "token").limit(min(class_words, head)).collect()]
+    number = {t: i for i, t in enumerate(seeds)}
+    rare, bound = len(seeds), len(seeds) + 1
     bigrams = np.zeros((bound + 1, bound + 1))
     got = bigram_counts(docs, number, rare, bound).toArrow()
     pair = np.asarray(got.column("pair"))
@@ -184,60 +239,115 @@ def fit_class_lm(docs: DataFrame, class_words: int = 1500, n_classes: int = 48,
     one = np.zeros((bound + 1, cls.max() + 1))
     one[np.arange(bound + 1), cls] = 1
     n = one.T @ bigrams @ one
-    share = (n.sum(axis=0) + 1) / (n.sum() + n.shape[0])
-    transition = np.log10((n + 5 * share) / (n.sum(axis=1, keepdims=True) + 5))
-    by_word = dict(top)
-    c = np.array([by_word[t] for t in vocab], dtype=float)
-    per_class = np.bincount(cls[:rare], weights=c, minlength=cls.max() + 1)
-    emission = np.r_[np.log10(c / per_class[cls[:rare]]), 0.0, 0.0]
-    ends = by_word.get(END, 0)
-    model = ClassModel(int(n_all), int(v_all), by_word, number, cls, transition, emission, int(n_all - c.sum() - ends), int(v_all - len(vocab) - (ends > 0)))
-    return model, counts
-
-
-def score_class_lm(docs: DataFrame, model: ClassModel, counts: DataFrame) -> DataFrame:
-    """One row per row of (doc_id, text): n_tokens, n_known, train_tokens, base_score, score."""
+    k = len(n) - 2
+    more = further_classes(class_contexts(docs, number, cls), counts, smoothed(n), n.sum(axis=1), least_count)
+    given = counts.sparkSession.createDataFrame([(bytearray(t), int(cls[i])) for t, i in number.items()] + [(bytearray(END), k + 1)], "token binary, cls int")
+    classed = materialize(counts.join(more.unionByName(given), "token", "left").select("token", "n", F.coalesce("cls", F.lit(k)).cast("int").alias("cls")), "classed")
+    top = classed.orderBy(F.desc("n"), "token").limit(head).collect()
+    own = np.zeros(k + 2)
+    own_rows = classed.groupBy("cls").agg(F.sum("n").alias("n"), F.count("token").alias("v")).collect()
+    for r in own_rows:
+        own[r["cls"]] = r["n"] + (_ADD * (r["v"] + 1) if r["cls"] == k else 0)
+    own[k] = own[k] or _ADD
+    model = ClassModel(int(n_all), int(v_all), {bytes(r["token"]): r["n"] for r in top}, np.array([r["cls"] for r in top] + [-1], dtype=np.int16), np.zeros((k + 2, k + 2)), -np.log10(np.maximum(own, _ADD)))
+    return model, classed
+
+
+def class_sequences(docs: DataFrame, model: ClassModel, classed: DataFrame) -> DataFrame:
+    """Materialized, for each row of (doc_id, text): n_tokens, n_known, base, logs (log10 of the
+    words' counts) and seq, the classes of all tokens as 16-bit numbers."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    rare, bound = len(model.transition) - 2, len(model.transition) - 1
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         row = TaskContext.get().partitionId() << 33
-        place, base_logs, model_logs, codes_of = m.tables()
+        place = {t: i for i, t in enumerate(m.head)}
+        count = np.array(list(m.head.values()), dtype=float)
+        base_logs = np.r_[m.base(count), 0.0]
+        logs = np.r_[np.log10(count + np.where(m.classes[:-1] == rare, _ADD, 0.0)), 0.0]
         get = place.get
         for b in chunks(batches):
-            out: dict[str, list] = {k: [] for k in ("row", "n_tokens", "n_known", "base", "model", "tail")}
+            out: dict[str, list] = {k: [] for k in ("row", "n_tokens", "n_known", "base", "logs", "seq", "tail")}
             for t in b.column(1).to_pylist():
                 toks = tokens(t)
                 at = np.array([get(w, -1) for w in toks], dtype=np.int64)  # -1: the last entry of each table
-                c = m.classes[codes_of[at]]
-                model = m.transition[m.classes[-1], c[0]] + m.transition[c[:-1], c[1:]].sum() + model_logs[at].sum()
-                rest = np.flatnonzero(at < 0)
-                tail = [{"token": w, "n": n} for w, n in Counter([toks[i] for i in rest.tolist()]).items()]
-                for k, x in zip(out, (row, len(toks), len(toks) - len(rest), float(base_logs[at].sum()), float(model), tail)):
+                seq = m.classes[at]
+                if at[-1] < 0:  # the end isn't trained on or no part of the head
+                    seq[-1] = bound
+                rest: dict[bytes, list[int]] = {}
+                for i in np.flatnonzero(at < 0).tolist():
+                    rest.setdefault(toks[i], []).append(i)
+                tail = [{"token": w, "at": n} for w, n in rest.items()]
+                for k, x in zip(out, (row, len(toks), int((at >= 0).sum()), float(base_logs[at].sum()), float(logs[at].sum()), seq.tobytes(), tail)):
                     out[k].append(x)
                 row += 1
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())])))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.list_(pa.struct([("token", pa.binary()), ("at", pa.list_(pa.int32()))])))
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x, k) for x, k in zip(out.values(), kinds))], ["doc_id", *out])
 
-    here = materialize(map_arrow(docs.select("doc_id", "text"), run, "doc_id long, row long, n_tokens long, n_known long, base double, model double, tail array<struct<token:binary,n:long>>"), "scored")
-    tail = here.select("row", F.explode("tail").alias("t")).select("row", "t.token", F.col("t.n").alias("k"))
-    c = F.coalesce("n", F.lit(0))
-    base = F.log10((c + _ADD) / F.lit(model.total + _ADD * (model.distinct + 1)))
-    emit = F.log10((c + _ADD) / F.lit(model.rare_total + _ADD * (model.rare_distinct + 1)))
-    rest = tail.join(counts, "token", "left").groupBy("row").agg(F.sum(F.col("k") * base).alias("more_base"), F.sum(F.col("k") * emit).alias("more"), F.sum(F.when(F.col("n") > 0, F.col("k"))).alias("more_known"))
-    zero = lambda x: F.coalesce(x, F.lit(0))
-    return here.drop("tail").join(rest, "row", "left").select(
-        "doc_id",
-        "n_tokens",
-        (F.col("n_known") + zero("more_known")).cast("long").alias("n_known"),
-        F.lit(model.total).cast("long").alias("train_tokens"),
-        (F.col("base") + zero("more_base")).alias("base_score"),
-        (F.col("model") + zero("more")).alias("score"),
-    )
-
-
-def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", class_words: int = 1500, n_classes: int = 48, head: int = 50_000) -> DataFrame:
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        names = ["doc_id", "n_tokens", "n_known", "base", "logs", "seq"]
+        for b in batches:
+            cols = {c: b.column(i).to_pylist() for i, c in enumerate(names)}
+            for r, more in enumerate(b.column(6)):
+                if not more.is_valid:
+                    continue
+                s = more.values
+                at = s.field("at")
+                size = np.diff(np.asarray(at.offsets))
+                n, cls = (np.repeat(np.asarray(s.field(c)), size) for c in ("n", "cls"))
+                seq = np.frombuffer(cols["seq"][r], dtype=np.int16).copy()
+                where = np.asarray(at.flatten())
+                seq[where] = cls
+                cols["seq"][r] = seq.tobytes()
+                cols["n_known"][r] += int((n > 0).sum())
+                cols["base"][r] += float(m.base(n).sum())
+                cols["logs"][r] += float(np.log10(np.where(cls == rare, n + _ADD, np.maximum(n, 1))).sum())
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(cols[c], k) for c, k in zip(names, kinds)], names)
+
+    here = materialize(map_arrow(docs.select("doc_id", "text"), read, "doc_id long, row long, n_tokens long, n_known long, base double, logs double, seq binary, tail array<struct<token:binary,at:array<int>>>"), "scored")
+    tail = here.select("row", F.explode("tail").alias("t")).select("row", "t.token", "t.at")
+    # an end that the training rows don't hold stays a class of its own
+    kind = F.when(F.col("token") == F.lit(bytearray(END)), bound).otherwise(F.coalesce("cls", F.lit(rare))).cast("int")
+    found = tail.join(classed, "token", "left").groupBy("row").agg(F.collect_list(F.struct("at", F.coalesce("n", F.lit(0)).alias("n"), kind.alias("cls"))).alias("more"))
+    whole = here.drop("tail").join(found, "row", "left").select("doc_id", "n_tokens", "n_known", "base", "logs", "seq", "more")
+    return materialize(map_arrow(whole, fill, "doc_id long, n_tokens long, n_known long, base double, logs double, seq binary"), "sequences")
+
+
+def class_pairs(sequences: DataFrame, width: int) -> np.ndarray:
+    """How often each class follows each other class, ends of texts included."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(width * width, dtype=np.int64)
+        for b in batches:
+            x = np.frombuffer(b"".join(b.column(0).to_pylist()), dtype=np.int16).astype(np.int64)
+            if len(x):  # a text ends with the bound, which starts the next
+                n += np.bincount(np.r_[width - 1, x[:-1]] * width + x, minlength=width * width)
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], ["pair", "n"])
+
+    got = map_arrow(sequences.select("seq"), run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    n = np.zeros(width * width)
+    n[np.asarray(got.column("pair"))] = np.asarray(got.column("n"))
+    return n.reshape(width, width)
+
+
+def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", class_words: int | None = None, n_classes: int | None = None, head: int = 50_000, least_count: int = 3) -> DataFrame:
     """Fits on the rows that aren't held out and scores all: doc_id, held_out and the scores."""
     plain = with_text(docs, id_col, text_col)
-    model, counts = fit_class_lm(plain.where(~held_out()), class_words, n_classes, head)
-    return score_class_lm(plain, model, counts).withColumn("held_out", held_out()).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    model, classed = fit_classes(plain.where(~held_out()), class_words, n_classes, head, least_count)
+    seqs = class_sequences(plain, model, classed)
+    transition, emission = smoothed(class_pairs(seqs.where(~held_out()), len(model.transition))), model.emission
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            score = []
+            for s in b.column(5).to_pylist():
+                x = np.frombuffer(s, dtype=np.int16)
+                score.append(float(transition[-1, x[0]] + transition[x[:-1], x[1:]].sum() + emission[x].sum()))
+            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(score, pa.float64())], ["doc_id", "n_tokens", "n_known", "base", "logs", "classes"])
+
+    out = map_arrow(seqs, run, "doc_id long, n_tokens long, n_known long, base double, logs double, classes double")
+    return out.select("doc_id", held_out().alias("held_out"), "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), (F.col("logs") + F.col("classes")).alias("score"))

@@ -431,3 +431,16 @@ def test_further_places_of_a_leader_are_found(spark):
     d = spark.createDataFrame([(1, " ".join(make(100) + passage + make(200) + passage + make(50))), (2, " ".join(make(30) + passage + make(100)))], DOC)
     got = [(x["doc_id"], x["start_word"], x["end_word"]) for x in substring_dedup.substring_dedup(d).collect()]
     assert sorted(got) == [(1, 100, 160), (1, 360, 420), (2, 30, 90)]
+
+
+def test_class_lm_gives_words_beyond_the_seeds_a_class(spark):
+    r = random.Random(5)
+    sides = [[f"{x}{i}" for i in range(40)] for x in "ab"]
+    rows = [(i, " ".join(r.choice(sides[(i + k) % 2]) for k in range(60))) for i in range(300)]
+    d = spark.createDataFrame(rows, DOC)
+    _, classed = class_lm.fit_classes(d, class_words=10, n_classes=2, head=20)
+    got = {bytes(x["token"]).decode(): x["cls"] for x in classed.collect()}
+    assert len({got[w] for w in sides[0]}) == len({got[w] for w in sides[1]}) == 1 and len(set(got.values())) == 3
+    pairs = spark.createDataFrame([(1, "a1 b2 " * 20), (11, "a1 a2 " * 20)], DOC)
+    score = {x["doc_id"]: x["score"] - x["base_score"] for x in class_lm.score_documents(d.unionByName(pairs.select((F.col("doc_id") + 1000).alias("doc_id"), "text")), class_words=10, n_classes=2, head=20).collect()}
+    assert score[1001] > score[1011] + 5
