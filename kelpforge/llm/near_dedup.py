@@ -10,10 +10,9 @@ Two registers agree with the probability Jaccard of both sets.
 1. Rows of equal word sequences are one class; only one of them goes on.
 2. Signatures are cut into bands; texts that share a band are candidates. In each group a
    leader (the member that shares most bands with others, so the middle of a star of copies)
-   is compared with all members: a star, not all pairs. For members that aren't in the leader's
-   component afterwards, exact prefix filtering on their rarest shingles (``rare_token_pairs``)
-   finds every partner that can reach the threshold, without pairing a group's members with
-   each other. (With more ``leaders``, others that each band picks on its own come before that.)
+   is compared with all members: a star, not all pairs. Members that aren't in the leader's
+   component afterwards are a query set against all members of the leader's groups, in blocks
+   of bounded bytes (``open_links``); only links that join two components are written.
 3. A pair is first screened by its signatures (standard deviation of the estimate at the
    threshold: 0.037; a pair goes if it is more than 0.2 below) and then verified: the exact
    probability Jaccard of both texts must reach the threshold.
@@ -34,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kelpforge.llm.common import chunks, map_arrow, only_ids, with_text
@@ -42,7 +41,9 @@ from kelpforge.llm.graph import components
 from kelpforge.llm.tokens import mix, shingle_hashes, word_hashes
 from kelpforge.session import materialize
 
-BANDS, ROWS, THRESHOLD, LEADERS = 24, 5, 0.8, 1
+BANDS, ROWS, THRESHOLD = 24, 5, 0.8
+#: Bytes of signatures and shingles of one block of a group.
+BLOCK_BYTES = 1 << 21
 
 
 def weighted_shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -164,88 +165,104 @@ def verified(pairs: DataFrame, sigs: DataFrame, docs: DataFrame, threshold: floa
     return materialize(map_arrow(full, lambda it: _verify(it, threshold), "a long, b long, similarity double"), "links")
 
 
-def rare_token_pairs(tokens: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(a, b), a < b: all pairs of (doc_id, token, weight, open) that can reach the threshold and
-    of which one is open.
-
-    Exact prefix filtering: the weight that two sets share is at least their probability
-    Jaccard, seen from either. In one order of all tokens (rarest first) their first common
-    token thus stands, in both, before more than 1 - threshold of the weight has passed; only
-    such tokens are keys, and frequent ones rarely are.
-    """
-    df = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    by_doc = Window.partitionBy("doc_id")
-    past = by_doc.orderBy("df", "token").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = tokens.join(df, "token").withColumns(
-        {
-            "before": F.coalesce(F.sum("weight").over(past), F.lit(0)),
-            "pos": F.count(F.lit(1)).over(past),
-            "total": F.sum("weight").over(by_doc),
-            "size": F.count(F.lit(1)).over(by_doc),
-            "plain": F.max("weight").over(by_doc) == 1,
-        }
-    )
-    keys = prefix.where((F.col("before") <= (1 - threshold) * F.col("total") + 1e-9) & (F.col("df") > 1))
-    keys = materialize(keys.select("token", "doc_id", "open", "pos", "size", "plain"), "rare")
-    side = lambda df_, x: df_.select("token", *(F.col(c).alias(f"{x}_{c}") for c in ("doc_id", "pos", "size", "plain")))
-    reach = F.least(F.col("x_size") - F.col("x_pos"), F.col("y_size") - F.col("y_pos")) >= threshold / (1 + threshold) * (F.col("x_size") + F.col("y_size")) - 1e-9
-    met = side(keys.where("open"), "x").join(side(keys, "y"), "token").where((F.col("x_doc_id") != F.col("y_doc_id")) & (reach | ~F.col("x_plain") | ~F.col("y_plain")))
-    return met.select(F.least("x_doc_id", "y_doc_id").alias("a"), F.greatest("x_doc_id", "y_doc_id").alias("b")).distinct()
-
-
-def open_tokens(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """(doc_id, token, weight, open) of the documents in ``members`` (doc_id, open)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in chunks(batches):
-            doc, h, w = weighted_shingles([t.encode() for t in b.column(1).to_pylist()])
-            ids = np.asarray(b.column(0))
-            yield pa.RecordBatch.from_arrays([pa.array(ids[doc]), pa.array(h.view(np.int64)), pa.array(w.astype(np.int64))], ["doc_id", "token", "weight"])
-
-    chosen = only_ids(docs, members.select("doc_id")).dropDuplicates(["doc_id"])
-    return map_arrow(chosen.select("doc_id", "text"), run, "doc_id long, token long, weight long").join(members, "doc_id")
-
-
-def near_links(docs: DataFrame, members: DataFrame, sigs: DataFrame, threshold: float = THRESHOLD, leaders: int = LEADERS) -> DataFrame:
+def block_links(query: pa.Table, pool: pa.Table, threshold: float) -> list[tuple[int, int]]:
+    """Verified links between two blocks of (doc_id, label, sig, set, weights): of all pairs that
+    reach the threshold, enough to join the labels that they join."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = parent.get(up, up)
+            x = up
+        return x
+
+    def card(t: pa.Table) -> tuple:
+        ids, labels = t.column("doc_id").to_pylist(), t.column("label").to_pylist()
+        sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), dtype=np.uint32).reshape(len(ids), -1)
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in t.column("set").to_pylist()]
+        weights = [None if x is None else np.frombuffer(x, dtype=np.int32) for x in t.column("weights").to_pylist()]
+        return ids, labels, sig, sets, weights
+
+    qi, ql, qs, q_sets, q_w = card(query)
+    pi, pl, ps, p_sets, p_w = card(pool)
+    size = np.array([len(x) for x in p_sets], dtype=np.int64)
+    plain = np.array([w is None for w in p_w])
+    token = np.concatenate(p_sets) if p_sets else np.zeros(0, dtype=np.uint64)
+    by = np.argsort(token, kind="stable")
+    token, owner = token[by], np.repeat(np.arange(len(pi)), size)[by]
+    heavy = lambda w, x: w if w is not None else np.ones(len(x), dtype=np.int32)
+    out = []
+    for i, x in enumerate(q_sets):
+        agree = (ps == qs[i]).mean(axis=1)
+        near = np.flatnonzero(agree >= threshold - 0.2)
+        near = near[np.argsort(-agree[near], kind="stable")]
+        exact = None
+        for tried, j in enumerate(near.tolist()):
+            a, b = root(ql[i]), root(pl[j])
+            if a == b:
+                continue
+            if tried > 8 and exact is None and q_w[i] is None:  # all at once, by the places of x's shingles
+                lo, hi = np.searchsorted(token, x, "left"), np.searchsorted(token, x, "right")
+                n = hi - lo
+                at = np.repeat(hi - np.cumsum(n), n) + np.arange(int(n.sum()))
+                both = np.bincount(owner[at], minlength=len(pi))
+                exact = both / (size + len(x) - both)
+            if exact is not None and plain[j]:
+                sim = exact[j]
+            else:
+                sim = probability_jaccard(x, heavy(q_w[i], x), p_sets[j], heavy(p_w[j], p_sets[j]))
+            if sim >= threshold:
+                parent[max(a, b)] = min(a, b)
+                out.append((qi[i], pi[j]))
+    return out
+
+
+def open_links(docs: DataFrame, met: DataFrame, labels: DataFrame, sigs: DataFrame, threshold: float) -> DataFrame:
+    """Links of the members that aren't in their leader's component; ``met`` (doc_id, leader).
+
+    Two members of a leader's group can only be in one class unnoticed if one of them is open.
+    Open members are a query set against the whole group, in blocks of bounded bytes: every pair
+    of blocks is one small task, and only links that join two components come out of it."""
+    of = lambda x: labels.select(F.col("doc_id").alias(x), F.col("label").alias(f"of_{x}"))
+    judged = met.join(of("doc_id"), "doc_id", "left").join(of("leader"), "leader", "left")
+    judged = materialize(judged.select("leader", "doc_id", F.coalesce("of_doc_id", "doc_id").alias("label"), (F.coalesce("of_doc_id", "doc_id") != F.coalesce("of_leader", "leader")).alias("open")), "judged")
+    groups = judged.groupBy("leader").agg(F.count_if("open").alias("n_open"), F.count(F.lit(1)).alias("n")).where("n_open > 0 AND n > 1")
+    rest = materialize(judged.join(materialize(groups, "groups").select("leader"), "leader"), "rest")
+    ids = materialize(rest.select("doc_id").distinct(), "ids")
+    cards = materialize(shingle_sets(only_ids(docs, ids)).dropDuplicates(["doc_id"]).join(sigs, "doc_id").withColumn("bytes", F.length("set") + F.coalesce(F.length("weights"), F.lit(0)) + F.length("sig")), "cards")
+    sized = materialize(rest.join(cards.select("doc_id", "bytes"), "doc_id"), "sized")
+    blocks = lambda c: F.ceil(F.sum(c) / F.lit(BLOCK_BYTES)).cast("int")
+    info = materialize(sized.groupBy("leader").agg(blocks(F.when(F.col("open"), F.col("bytes"))).alias("nq"), blocks("bytes").alias("np")), "blocks")
+    rows = materialize(sized.drop("bytes").join(info, "leader"), "dealt").join(cards.drop("bytes"), "doc_id")
+    own = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    cols = ["leader", "q", "p", "doc_id", "label", "sig", "set", "weights"]
+    query = rows.where("open").withColumn("q", own("nq")).withColumn("p", all_of("np")).select(*cols)
+    pool = rows.withColumn("p", own("np")).withColumn("q", all_of("nq")).select(*(F.col(c).alias(c) for c in cols))
+
+    def compare(query: pa.Table, pool: pa.Table) -> pa.Table:
+        found = block_links(query, pool, threshold) if query.num_rows and pool.num_rows else []
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    by = ["leader", "q", "p"]
+    return materialize(query.groupBy(*by).cogroup(pool.groupBy(*by)).applyInArrow(compare, "a long, b long"), "links")
+
+
+def near_links(docs: DataFrame, members: DataFrame, sigs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Verified links (a, b) among the members (band, doc_id) of band groups: enough of them for
-    the components of all links."""
-    sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    the components of all links. Tables that are joined by a key that a group shares are written
+    before, so that a join's skewed partitions can be split."""
+    sizes = materialize(members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
     shared = materialize(members.join(sizes, "band"), "members")
     score = shared.groupBy("doc_id").agg(F.sum("n").alias("score"))
     pool = materialize(shared.join(score, "doc_id").select("band", "doc_id", "score"), "pool")
-    pending, seen, links, labels = pool, None, None, None
-    for round_ in range(leaders + 1):
-        if pending.limit(1).count() == 0:
-            break
-        if round_ < leaders:
-            # the middle of the star first, then a member that each band picks on its own
-            rank = F.col("score") if round_ == 0 else F.xxhash64("band", "doc_id", F.lit(round_))
-            top = pool.groupBy("band").agg(F.max(F.struct(rank.alias("rank"), (-F.col("doc_id")).alias("id"))).alias("t")).select("band", (-F.col("t.id")).alias("leader"))
-            met = pending.join(top, "band").where("doc_id <> leader").select("band", "doc_id", "leader", F.least("doc_id", "leader").alias("a"), F.greatest("doc_id", "leader").alias("b"))
-            met = materialize(met, "met")
-            pairs = met.select("a", "b").distinct()
-        else:  # what is still open meets whatever else of the open groups can be alike
-            still = pending.select("doc_id").distinct().withColumn("open", F.lit(True))
-            rest = pool.select("doc_id").distinct().join(still, "doc_id", "left").select("doc_id", F.coalesce("open", F.lit(False)).alias("open"))
-            pairs = rare_token_pairs(open_tokens(docs, materialize(rest.unionByName(still).groupBy("doc_id").agg(F.max("open").alias("open")), "rest")), threshold)
-        if seen is not None:
-            pairs = pairs.join(seen, ["a", "b"], "left_anti")
-            side = lambda x: labels.select(F.col("doc_id").alias(x), F.col("label").alias(f"of_{x}"))  # noqa: E731, B023
-            apart = F.coalesce("of_a", "a") != F.coalesce("of_b", "b")
-            pairs = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left").where(apart).select("a", "b")
-        pairs = materialize(pairs, "pairs")
-        new = verified(pairs, sigs, docs, threshold).select("a", "b")
-        links = new if links is None else links.unionByName(new)
-        seen = pairs if seen is None else seen.unionByName(pairs)
-        if round_ < leaders:
-            labels = components(links)
-            of = lambda x: labels.select(F.col("doc_id").alias(x), F.col("label").alias(f"of_{x}"))  # noqa: E731, B023
-            judged = met.join(of("doc_id"), "doc_id", "left").join(of("leader"), "leader", "left")
-            still = judged.where(F.coalesce("of_doc_id", "doc_id") != F.coalesce("of_leader", "leader")).select("band", "doc_id")
-            pending = materialize(still, "pending")
-            gone = top.select("band", F.col("leader").alias("doc_id"))
-            pool = materialize(pool.join(pending.select("band").distinct(), "band", "left_semi").join(gone, ["band", "doc_id"], "left_anti"), "pool")
-    return links if links is not None else docs.sparkSession.createDataFrame([], "a long, b long")
+    # a leader is the middle of its star: the member that shares most bands with others
+    first = F.max(F.struct("score", (-F.col("doc_id")).alias("id")))
+    top = materialize(pool.groupBy("band").agg(first.alias("t")).select("band", (-F.col("t.id")).alias("leader")), "top")
+    met = materialize(pool.join(top, "band").where("doc_id <> leader").select("doc_id", "leader").distinct(), "met")
+    pairs = materialize(met.select(F.least("doc_id", "leader").alias("a"), F.greatest("doc_id", "leader").alias("b")).distinct(), "pairs")
+    links = verified(pairs, sigs, docs, threshold).select("a", "b")
+    return links.unionByName(open_links(docs, met, components(links), sigs, threshold))
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -257,11 +274,11 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = materialize(keyed.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1"), "groups")
     copies = materialize(keyed.select("doc_id", "key").join(groups, "key").select("doc_id", "rep").where("doc_id <> rep").distinct(), "copies")
     reps = only_ids(keyed, materialize(copies.select("doc_id").distinct(), "ids"), "left_anti")
-    reps = materialize(reps.select("doc_id", "bands", "sig"), "reps")
-    members = reps.select(F.explode("bands").alias("band"), "doc_id").distinct()
-    links = near_links(plain, members, reps.select("doc_id", "sig").dropDuplicates(["doc_id"]), threshold)
+    reps = materialize(reps.select("doc_id", "bands", "sig").dropDuplicates(["doc_id"]), "reps")
+    members = materialize(reps.select(F.explode("bands").alias("band"), "doc_id").distinct(), "bands")
+    links = near_links(plain, members, reps.select("doc_id", "sig"), threshold)
     labels = components(links.unionByName(copies.select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))))
     out = materialize(ids.select("doc_id").join(labels, "doc_id", "left").select("doc_id", F.coalesce("label", "doc_id").alias("class_id")), "classes")
-    sizes = out.groupBy("class_id").agg(F.countDistinct("doc_id").alias("class_size")).where("class_size > 1")
+    sizes = materialize(out.distinct().groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size")).where("class_size > 1"), "sizes")
     done = out.join(sizes, "class_id", "left").select("doc_id", "class_id", F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"), (F.col("doc_id") == F.col("class_id")).alias("kept"))
     return done.unionByName(sketch.where("doc_id IS NULL").select("doc_id", F.lit(None).cast("long").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("kept")))

@@ -10,6 +10,7 @@ from math import log10
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -364,23 +365,63 @@ def test_numpy_seed_is_not_global():
     assert np.array_equal(*(near_dedup.prob_minhash(np.zeros(3, int), np.arange(3).astype(np.uint64), np.ones(3, int), 1, 8) for _ in range(2)))
 
 
-def test_prefix_filter_loses_no_pair(spark):
-    r = random.Random(11)
-    sets = []
+def sketched(texts):
+    """(ids, sets, weights, card table) of texts as block comparison takes them."""
+    doc, h, w = near_dedup.weighted_shingles([t.encode() for t in texts])
+    sig = near_dedup.prob_minhash(doc, h, w, len(texts), 120).astype(np.uint32)
+    sets = [(h[doc == i], w[doc == i].astype(np.int32)) for i in range(len(texts))]
+    n = len(texts)
+    return sets, pa.table({
+        "doc_id": list(range(n)), "label": list(range(n)), "sig": [x.tobytes() for x in sig],
+        "set": [x.tobytes() for x, _ in sets], "weights": pa.array([None if (v == 1).all() else v.tobytes() for _, v in sets], pa.binary()),
+    })
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_block_comparison_joins_what_all_pairs_join(seed):
+    r = random.Random(seed)
+    base = [[f"w{r.randrange(500)}" for _ in range(120)] for _ in range(3)]
+    texts = []
+    for i in range(90):
+        w = list(base[i % 3])
+        for k in range(r.randint(0, 5)):
+            w[r.randrange(120)] = f"x{i}.{k}"
+        texts.append(" ".join(w + w[:20] * (i % 7 == 0)))
+    sets, cards = sketched(texts)
+    up = list(range(90))
+
+    def root(up, x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i, j in itertools.combinations(range(90), 2):
+        if near_dedup.probability_jaccard(*sets[i], *sets[j]) >= 0.8:
+            a, b = root(up, i), root(up, j)
+            up[max(a, b)] = min(a, b)
+    got = near_dedup.block_links(cards, cards, 0.8)
+    mine = list(range(90))
+    for i, j in got:
+        assert near_dedup.probability_jaccard(*sets[i], *sets[j]) >= 0.8
+        a, b = root(mine, i), root(mine, j)
+        assert a != b  # only links that join something come out
+        mine[max(a, b)] = min(a, b)
+    assert [root(mine, i) for i in range(90)] == [root(up, i) for i in range(90)] and 3 < len(set(map(lambda i: root(up, i), range(90)))) < 90
+
+
+def test_near_dedup_finds_links_between_members_that_fail_their_leader(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", 20_000)  # many blocks a group
+    r = random.Random(5)
+    base = [f"w{r.randrange(10**6)}" for _ in range(200)]
+    rows = []
     for i in range(60):
-        if i % 3 or not sets:
-            sets.append({r.randrange(300): r.randint(1, 3) for _ in range(30)})
-        else:
-            other = dict(r.choice(sets))
-            for k in r.sample(sorted(other), r.randint(0, 4)):
-                other.pop(k)
-            sets.append(other)
-    rows = [(i, k, w, i % 2 == 0) for i, s in enumerate(sets) for k, w in s.items()]
-    got = {(x["a"], x["b"]) for x in near_dedup.rare_token_pairs(spark.createDataFrame(rows, "doc_id long, token long, weight long, open boolean")).collect()}
-    arr = lambda z: (np.array(sorted(z), dtype=np.uint64), np.array([z[k] for k in sorted(z)]))
-    want = {(a, b) for a, b in itertools.combinations(range(60), 2) if near_dedup.probability_jaccard(*arr(sets[a]), *arr(sets[b])) >= 0.8}
-    assert want and {p for p in want if p[0] % 2 == 0 or p[1] % 2 == 0} <= got
-    assert all(a % 2 == 0 or b % 2 == 0 for a, b in got) and len(got) < 60 * 59 / 4
+        w = list(base)
+        for k in range(0, 200, 200 // (i % 12 + 1)):
+            w[k] = f"v{i // 2}"
+        rows.append((i + 1, " ".join(w)))
+    got = {x["doc_id"]: x["class_id"] for x in near_dedup.near_dedup(spark.createDataFrame(rows, DOC)).collect()}
+    want = brute_classes(rows)
+    assert got == want and 1 < len(set(want.values())) < 60
 
 
 def test_rare_places_lose_no_passage(spark):
