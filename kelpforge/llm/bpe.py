@@ -42,7 +42,7 @@ _SPACE_SPACE = re.compile(f"[{_SPACE}] |^ ")
 _STOPS = frozenset(".,;:!?")
 _FRAGMENT = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 #: Fragments that the cache of a worker holds (about 400 bytes each), and their longest length.
-CACHE, CACHED_CHARS = 300_000, 48
+CACHE, CACHED_CHARS = 100_000, 48
 #: Bytes up to which a pre-token goes to the merge loop without a search for cuts inside it.
 SHORT = 12
 #: Fragments that are encoded between two updates of the digests.

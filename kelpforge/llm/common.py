@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text that a worker holds as arrays at once.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 #: A set of ids is broadcast up to this many rows (16 bytes a row), and shuffled beyond.
 BROADCAST_IDS = 1_000_000
 

@@ -25,8 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kelpforge.llm.common import WORD_TABLE, chunks, map_arrow, only_ids, with_text, words
-from kelpforge.session import materialize
+from kelpforge.llm.common import WORD_TABLE, chunks, map_arrow, with_text, words
 
 WINDOW = 10
 #: Words of items in one automaton (about 200 bytes each in a worker).
@@ -171,34 +170,48 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> It
     yield ItemAutomaton(block, window)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
-    """(doc_id, n_words, spans, items): merged hit spans with their longest runs, and item ids."""
-    spark = docs.sparkSession
-    out = with_text(docs, id_col, text_col).withColumns({"spans": F.expr("cast(array() as array<struct<start_word:long,end_word:long,longest:long>>)"), "items": F.expr("cast(array() as array<string>)"), "n_words": F.lit(0).cast("long")})
-    kind = pa.list_(pa.struct([("start_word", pa.int64()), ("end_word", pa.int64()), ("longest", pa.int64())]))
-    names = ["doc_id", "text", "spans", "items", "n_words"]
+_SPANS = pa.list_(pa.struct([("start_word", pa.int64()), ("end_word", pa.int64()), ("longest", pa.int64())]))
+_HITS = {"_spans": "array<struct<start_word:long,end_word:long,longest:long>>", "_items": "array<string>", "_n_words": "long"}
+
 
-    def through(automaton, batches: Iterator[pa.RecordBatch], last: bool) -> Iterator[pa.RecordBatch]:
+def with_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
+    """``docs`` with, for each row's own text, merged hit spans with their longest runs, item ids
+    and number of words, as columns ``_spans``, ``_items`` and ``_n_words``: one pass a block of items."""
+    spark, names = docs.sparkSession, docs.columns
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema} | _HITS
+    schema = ", ".join(f"`{n.replace('`', '``')}` {k}" for n, k in kinds.items())
+
+    def through(automaton, batches: Iterator[pa.RecordBatch], first: bool) -> Iterator[pa.RecordBatch]:
         auto = automaton.value
-        for b in chunks(batches):
+        for b in chunks(batches, text_col):
+            col = lambda name: b.column(b.schema.get_field_index(name)).to_pylist()  # noqa: E731, B023
+            before = [([], [])] * b.num_rows if first else zip(col("_spans"), col("_items"))
             spans, items, counts = [], [], []
-            for t, s, i in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
+            for t, (s, i) in zip(col(text_col), before):
                 found = words(t)
                 more, ids = auto.hits(found)
                 spans.append(_merged([[x["start_word"], x["end_word"], x["longest"]] for x in s], more))
                 items.append(sorted(ids | set(i)))
                 counts.append(len(found))
             spans = [[dict(zip(("start_word", "end_word", "longest"), x)) for x in s] for s in spans]
-            text = pa.nulls(b.num_rows, pa.string()) if last else b.column(1)
-            yield pa.RecordBatch.from_arrays([b.column(0), text, pa.array(spans, kind), pa.array(items, pa.list_(pa.string())), pa.array(counts, pa.int64())], names)
+            kept = [b.column(b.schema.get_field_index(n)) for n in names]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.string())), pa.array(counts, pa.int64())], list(kinds))
+
+    out = docs
+    for k, a in enumerate(_blocks(benchmark, item_id, item_text, window)):
+        shared = spark.sparkContext.broadcast(a)
 
-    automata = [spark.sparkContext.broadcast(a) for a in _blocks(benchmark, item_id, item_text, window)]
-    for k, a in enumerate(automata):
-        def run(batches, a=a, last=k == len(automata) - 1):
-            return through(a, batches, last)
+        def run(batches, shared=shared, first=k == 0):
+            return through(shared, batches, first)
 
-        out = map_arrow(out.select(*names), run, "doc_id long, text string, spans array<struct<start_word:long,end_word:long,longest:long>>, items array<string>, n_words long")
-    return out.select("doc_id", "n_words", "spans", "items")
+        out = map_arrow(out, run, schema)
+    return out
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
+    """(doc_id, n_words, spans, items): merged hit spans with their longest runs, and item ids."""
+    found = with_hits(with_text(docs, id_col, text_col), benchmark, "text", item_id, item_text, window)
+    return found.select("doc_id", F.col("_n_words").alias("n_words"), F.col("_spans").alias("spans"), F.col("_items").alias("items"))
 
 
 def _merged(a: list[list[int]], b: list[list[int]]) -> list[list[int]]:
@@ -240,20 +253,29 @@ def without_words(text: str, spans: list[tuple[int, int]]) -> str:
     return b"".join([*out, raw[done:]]).decode()
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_run: int = WINDOW - 1, max_coverage: float = 0.0, window: int = WINDOW) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", max_run: int = WINDOW - 1, max_coverage: float = 0.0, window: int = WINDOW) -> DataFrame:
     """``docs`` without documents over a limit, other columns kept.
 
-    A document goes when the part of its words that is hit exceeds ``max_coverage``. In those
-    that stay, spans with a run of more than ``max_run`` words are cut out of the text. The
-    default keeps clean documents only. Documents are matched by id, so ids must be unique.
+    A row goes when the part of its words that is hit exceeds ``max_coverage``. In those that
+    stay, spans with a run of more than ``max_run`` words are cut out of the text. The default
+    keeps clean documents only. Each row is judged by its own text, whatever its id: rows with a
+    null or repeated id are treated like any other.
     """
-    report = contamination(docs, benchmark, id_col, text_col, window=window)
-    n_hit = F.aggregate("spans", F.lit(0.0), lambda acc, s: acc + s["end_word"] - s["start_word"])
-    hit = materialize(report.where((F.size("spans") > 0) & F.col("doc_id").isNotNull()).select("doc_id", "spans", (n_hit / F.col("n_words") > F.lit(max_coverage)).alias("_over")), "hits")
-    clean = only_ids(docs, hit.select("doc_id").distinct(), "left_anti", id_col=id_col)
+    found = with_hits(docs, benchmark, text_col, window=window)
+    n_hit = F.aggregate("_spans", F.lit(0.0), lambda acc, s: acc + s["end_word"] - s["start_word"])
+    stay = found.where((F.size("_spans") == 0) | (n_hit <= F.lit(max_coverage) * F.col("_n_words")))
+    names = docs.columns
     if max_coverage <= 0:
-        return clean
-    cut = F.udf(lambda t, s: without_words(t or "", [(x["start_word"], x["end_word"]) for x in s if x["longest"] > max_run]), "string")
-    few = hit.where(~F.col("_over")).select(F.col("doc_id").alias("_hit"), "spans")
-    touched = only_ids(docs, hit.select("doc_id").distinct(), id_col=id_col).join(few, F.col(id_col) == F.col("_hit"))
-    return clean.unionByName(touched.withColumn(text_col, cut(text_col, "spans")).select(*docs.columns))
+        return stay.select(*names)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = b.schema.get_field_index(text_col)
+            text = []
+            for t, spans in zip(b.column(at).to_pylist(), b.column(b.schema.get_field_index("_spans")).to_pylist()):
+                long = [(x["start_word"], x["end_word"]) for x in spans if x["longest"] > max_run]
+                text.append(without_words(t, long) if long else t)
+            cols = [pa.array(text, pa.string()) if n == text_col else b.column(b.schema.get_field_index(n)) for n in names]
+            yield pa.RecordBatch.from_arrays(cols, names)
+
+    return map_arrow(stay.select(*names, "_spans"), cut, ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema))

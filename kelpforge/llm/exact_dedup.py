@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kelpforge.llm.common import LOWER_TABLE, chunks, map_arrow, only_ids, with_text
+from kelpforge.llm.common import BROADCAST_IDS, LOWER_TABLE, add_column, chunks, map_arrow, only_ids, with_text
 from kelpforge.llm.tokens import mix
 from kelpforge.session import materialize
 
@@ -183,6 +183,16 @@ def _normalised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(raw, pa.binary()), pa.array([hashlib.sha256(x).digest() for x in raw], pa.binary())], ["doc_id", "bytes", "digest"])
 
 
+def exact_groups(keyed: DataFrame, texts: DataFrame, snapshot_until: int | None = None) -> DataFrame:
+    """(digest, keep_id, group_size) of the classes of two rows or more, materialized; ``keyed`` is
+    (doc_id, digest) of the ``texts``."""
+    if snapshot_until is None:
+        lo, hi = keyed.agg(F.min("doc_id"), F.max("doc_id")).first()
+        snapshot_until = 0 if lo is None else (lo + hi) // 2
+    old = F.coalesce(F.col("doc_id") <= F.lit(snapshot_until), F.lit(False))
+    return materialize(dedup_against(keyed.where(old), keyed.where(~old), texts).where("group_size > 1"), "groups")
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", snapshot_until: int | None = None) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -192,12 +202,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     plain = with_text(docs, id_col, text_col)
     keyed = materialize(digests(plain), "digests")
-    if snapshot_until is None:
-        lo, hi = keyed.agg(F.min("doc_id"), F.max("doc_id")).first()
-        snapshot_until = 0 if lo is None else (lo + hi) // 2
-    old = F.coalesce(F.col("doc_id") <= F.lit(snapshot_until), F.lit(False))
-    classes = dedup_against(keyed.where(old), keyed.where(~old), plain)
-    groups = materialize(classes.where("group_size > 1"), "groups")
+    groups = exact_groups(keyed, plain, snapshot_until)
     return keyed.join(groups, "digest", "left").select(
         "doc_id",
         F.coalesce("keep_id", "doc_id").alias("keep_id"),
@@ -205,3 +210,20 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("doc_id").eqNullSafe(F.coalesce("keep_id", "doc_id")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+
+
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each class of equal texts, that of the largest id.
+
+    Rows are judged one by one, by the digest of their own text: of rows that share the largest
+    id, or of a class without any id, one row stays. Only rows of repeated texts are shuffled.
+    """
+    plain = with_text(docs, id_col, text_col)
+    groups = exact_groups(materialize(digests(plain), "digests"), plain)
+    small = groups.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    side = groups.select(F.col("digest").alias("_of"), "keep_id", F.lit(True).alias("_repeated"))
+    marked = add_column(docs, text_col, "_digest", "binary", pa.binary(), lambda: lambda t: hashlib.sha256(t.encode().translate(LOWER_TABLE)).digest())
+    judged = marked.join(F.broadcast(side) if small else side, F.col("_digest") == F.col("_of"), "left")
+    once = judged.where("_repeated IS NULL").select(*docs.columns)
+    stay = judged.where(F.col("_repeated") & F.col(id_col).cast("long").eqNullSafe(F.col("keep_id")))
+    return once.unionByName(stay.dropDuplicates(["_digest"]).select(*docs.columns))

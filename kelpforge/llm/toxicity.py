@@ -47,7 +47,7 @@ _GROUP = {t.encode(): [x.encode() for x in g] for g in IDENTITY_GROUPS for t in
 #: Lengths of word beginnings that are features, in bytes.
 PREFIXES = (4, 5, 6)
 #: Words whose features a worker remembers.
-MEMO = 200_000
+MEMO = 50_000
 
 
 def features_of(word: bytes) -> list[bytes]:
@@ -104,7 +104,7 @@ def _counts(labelled: DataFrame) -> DataFrame:
                 for w in set(words(t)):
                     seen.update(features_of(w))
                 kinds[y].update(seen)
-            if len(kinds[0]) + len(kinds[1]) > 300_000:
+            if len(kinds[0]) + len(kinds[1]) > 150_000:
                 yield out()
         yield out()
 

@@ -342,6 +342,17 @@ def test_contamination_in_blocks_and_short_items(spark, monkeypatch):
     assert {r["doc_id"]: r["text"] for r in cut.collect()} == {1: "x  y", 3: None, 4: "alpha gamma alpha"}
 
 
+def test_rows_with_null_or_repeated_ids_are_judged_by_their_own_text(spark):
+    bench = spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "item_id long, text string")
+    bad, rows = "x one two three four five six seven eight nine ten", "doc_id long, text string, _n long"
+    d = spark.createDataFrame([(None, bad, 1), (None, "clean", 2), (3, bad, 3), (3, "clean too", 4)], rows)
+    assert {r["_n"] for r in decontaminate.decontaminate(d, bench).collect()} == {2, 4}
+    assert {(r["_n"], r["text"]) for r in decontaminate.decontaminate(d, bench, max_coverage=1.0).collect()} == {(1, "x "), (2, "clean"), (3, "x "), (4, "clean too")}
+    d = spark.createDataFrame([(None, "same", 1), (None, "SAME", 2), (None, "other", 3), (5, "other", 4), (5, "Other", 5), (5, "third", 6), (4, "third", 7), (None, None, 8), (None, "", 9)], rows)
+    got = sorted(r["_n"] for r in exact_dedup.without_copies(d).collect())
+    assert len(got) == 4 and {6} < set(got) and len({1, 2} & set(got)) == len({4, 5} & set(got)) == len({8, 9} & set(got)) == 1
+
+
 def test_bpe_table_round_trip(spark, docs, odd, empty):
     enc = bpe.bpe_encode(odd, PATH)
     back = sorted((r["doc_id"] or 0, r["text"]) for r in bpe.bpe_decode(enc, PATH).collect())
