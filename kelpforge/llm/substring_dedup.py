@@ -10,14 +10,14 @@ subsequences. A window's signature is its minimum.
 2. Signatures that occur in one text only are dropped: two numbers for each signature are
    aggregated, and only windows of repeated signatures come back (a size-checked broadcast
    of those, or a shuffled join).
-3. Within a text, windows of different hashes are joined as intervals: where two of them
-   overlap in ``LEAST`` tokens or more, subsequences share ``AGREE`` = 2 signatures, and the
-   pair of signatures becomes the key under which texts meet. Near-duplicate passages
-   (similarity 0.8) share two of four signatures with probability 0.97, exact ones always,
-   and longer passages have several independent chances.
+3. Within a text, windows of different hashes are joined as intervals: where subsequences of
+   ``LEAST`` tokens lie in two of them, they share ``AGREE`` = 2 signatures, and the pair of
+   signatures becomes the key under which texts meet. Near-duplicate passages (similarity
+   0.8) share two of four signatures with probability 0.97, exact ones always, and longer
+   passages hold several such subsequences.
 4. In each key's group all places are compared with a leader's: a star, not all pairs. Only
-   what was verified at a place is closed there; for every stretch left open, exact prefix
-   filtering on its rarest tokens (``rare_places``) finds every partner that can share a passage.
+   what was verified at a place is closed there; the stretches left open are a query set
+   against all places that the leader met, in blocks of bounded bytes (``block_passages``).
 5. Verification on the tokens themselves: a passage is reported if it holds a stretch of
    ``LEAST`` tokens or more of which both texts share a Jaccard similarity of 0.8.
 
@@ -35,10 +35,11 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kelpforge.llm.common import BROADCAST_IDS, chunks, map_arrow, only_ids, with_text
+from kelpforge.llm.graph import components
 from kelpforge.llm.tokens import SHINGLE, mix, shingle_hashes, word_hashes
 from kelpforge.session import materialize
 
@@ -46,6 +47,8 @@ from kelpforge.session import materialize
 PASSAGE_WORDS = 50
 LEAST = PASSAGE_WORDS - SHINGLE + 1
 HASHES, AGREE, THRESHOLD = 4, 2, 0.8
+#: Bytes of tokens of one block of a group.
+BLOCK_BYTES = 1 << 21
 
 
 def _sliding(x: np.ndarray, width: int, op: np.ufunc) -> np.ndarray:
@@ -99,7 +102,9 @@ def compact_windows(values: np.ndarray, offsets: np.ndarray, least: int) -> tupl
 
 
 def windows(docs: DataFrame, hashes: int = HASHES, least: int = LEAST) -> DataFrame:
-    """(sig, doc_id, l, r) of (doc_id, text); the number of the hash is sig mod 8."""
+    """(sig, doc_id, lo, hi) of (doc_id, text): of each compact window its signature and the first
+    and last start of its subsequences of ``least`` tokens (windows without one are left out);
+    the number of the hash is sig mod 8."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches):
@@ -108,45 +113,63 @@ def windows(docs: DataFrame, hashes: int = HASHES, least: int = LEAST) -> DataFr
             for i in range(hashes):
                 v = mix(sh, 100 + i)
                 text, left, c, right = compact_windows(v, off, least)
+                lo, hi = np.maximum(left, c - least + 1), np.minimum(c, right - least + 1)
+                some = lo <= hi
+                text, c, lo, hi = text[some], c[some], lo[some], hi[some]
                 if len(text):
                     sig = (v[off[text] + c] & ~np.uint64(7) | np.uint64(i)).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(ids[text]), pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32))], ["sig", "doc_id", "l", "r"])
-
-    return map_arrow(docs.select("doc_id", "text"), run, "sig long, doc_id long, l int, r int")
+                    yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(ids[text]), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))], ["sig", "doc_id", "lo", "hi"])
+
+    return map_arrow(docs.select("doc_id", "text"), run, "sig long, doc_id long, lo int, hi int")
+
+
+def interval_pairs(sig: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(signature, signature, first, last) of all intervals of two hashes that meet in one text.
+
+    Intervals of one signature that touch count as one: a text that repeats itself has many
+    equal minima."""
+    by = np.lexsort((lo, sig))
+    sig, lo, hi = sig[by], lo[by], hi[by]
+    new = np.flatnonzero(np.r_[True, (sig[1:] != sig[:-1]) | (lo[1:] > hi[:-1] + 1)])
+    sig, lo, hi = sig[new], lo[new], np.maximum.reduceat(hi, new)
+    sides = []
+    for h in np.unique(sig & 7):
+        mine = np.flatnonzero((sig & 7) == h)
+        sides.append(mine[np.argsort(lo[mine], kind="stable")])  # disjoint, as each start has one minimum
+    out: tuple[list, ...] = ([], [], [], [])
+    for i, x in enumerate(sides):
+        for y in sides[i + 1 :]:
+            first = np.searchsorted(hi[y], lo[x], "left")
+            n = np.searchsorted(lo[y], hi[x], "right") - first
+            u = np.repeat(x, n)
+            w = y[np.repeat(first - np.cumsum(n) + n, n) + np.arange(int(n.sum()))]
+            for to, part in zip(out, (sig[u], sig[w], np.maximum(lo[u], lo[w]), np.minimum(hi[u], hi[w]))):
+                to.append(part)
+    return tuple(np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in out)
 
 
 def joined_windows(repeated: DataFrame, least: int = LEAST) -> DataFrame:
-    """(key, doc_id, lo, hi): overlaps of ``least`` tokens of windows of two different hashes.
-
-    Windows of one signature that overlap count as one: a text that repeats itself has many
-    equal minima whose windows lie over each other."""
+    """(key, doc_id, lo, hi): places where subsequences of ``least`` tokens lie in compact windows
+    of two different hashes, joined as intervals of their starts; the tokens lo to hi."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for doc, ws in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                merged: list[list[int]] = []
-                for s, lo_, hi_ in sorted((w["sig"], w["l"], w["r"]) for w in ws):
-                    if merged and merged[-1][2] == s and lo_ <= merged[-1][1]:
-                        merged[-1][1] = max(hi_, merged[-1][1])
-                    else:
-                        merged.append([lo_, hi_, s])
-                ws = sorted(map(tuple, merged))
-                x, y, lo, hi = [], [], [], []
-                open_: list[tuple[int, int, int]] = []
-                for w in ws:
-                    open_ = [o for o in open_ if o[1] - w[0] + 1 >= least]
-                    for o in open_:
-                        if (o[2] ^ w[2]) & 7 and (end := min(o[1], w[1])) - w[0] + 1 >= least:
-                            x.append(min(o[2], w[2]))
-                            y.append(max(o[2], w[2]))
-                            lo.append(w[0])
-                            hi.append(end)
-                    open_.append(w)
-                if x:
-                    key = mix(mix(np.array(x, dtype=np.int64).view(np.uint64), 7) ^ np.array(y, dtype=np.int64).view(np.uint64), 8).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array([doc] * len(x), pa.int64()), pa.array(lo, pa.int32()), pa.array(hi, pa.int32())], ["key", "doc_id", "lo", "hi"])
-
-    lists = repeated.groupBy("doc_id").agg(F.collect_list(F.struct("sig", "l", "r")).alias("w"))
+            lists = b.column(1)
+            at = np.asarray(lists.offsets) - lists.offsets[0].as_py()
+            sig, lo, hi = (np.asarray(lists.flatten().field(c)).astype(np.int64) for c in ("sig", "lo", "hi"))
+            docs, parts = np.asarray(b.column(0)), []
+            for k, (i, j) in enumerate(zip(at[:-1], at[1:])):
+                x, y, first, last = interval_pairs(sig[i:j], lo[i:j], hi[i:j])
+                if len(x):
+                    key = mix(mix(x.view(np.uint64), 7) ^ y.view(np.uint64), 8).view(np.int64)
+                    parts.append((key, np.full(len(x), docs[k]), first.astype(np.int32), (last + least - 1).astype(np.int32)))
+                if parts and (k == b.num_rows - 1 or sum(len(p[0]) for p in parts) > 50_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], ["key", "doc_id", "lo", "hi"])
+                    parts = []
+            if parts:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], ["key", "doc_id", "lo", "hi"])
+
+    lists = repeated.groupBy("doc_id").agg(F.collect_list(F.struct("sig", "lo", "hi")).alias("w"))
     return map_arrow(lists, run, "key long, doc_id long, lo int, hi int")
 
 
@@ -175,25 +198,59 @@ def merged_segments(segments: list[tuple[int, int, int, int]]) -> list[list[int]
 
 
 def shared_passages(a: np.ndarray, b: np.ndarray, least: int, threshold: float) -> list[tuple[int, int, int, int]]:
-    """(a_lo, a_hi, b_lo, b_hi), ends included, of the passages of two token sequences."""
-    need = ceil(round(2 * threshold / (1 + threshold) * least, 6))  # shared of two runs of this length
-    in_a = np.isin(b, a)
-    if len(b) < least or len(a) < least or in_a.sum() < need:
+    """(a_lo, a_hi, b_lo, b_hi), ends included, of the passages of two token sequences: stretches
+    of b in which runs of ``least`` tokens are alike with a run of a, every start tested. (Where
+    tokens repeat inside a text, a start is tested against the part of a that holds most of it.)"""
+    need = least - spare_tokens(least, threshold) + 1
+    if len(b) < least or len(a) < least:
         return []
+    in_a = np.isin(b, a)
     total = np.concatenate([[0], np.cumsum(in_a)])
     full = np.flatnonzero(total[least:] - total[:-least] >= need)
-    out = []
-    for run in np.split(full, np.flatnonzero(np.diff(full) > least) + 1) if len(full) else []:
+    if not len(full):
+        return []
+    once = len(np.unique(a)) == len(a) and len(np.unique(b)) == len(b)
+    out: list[tuple[int, int, int, int]] = []
+    for run in np.split(full, np.flatnonzero(np.diff(full) > least) + 1):
         got = _aligned(a, b, int(run[0]), int(run[-1]) + least, threshold)
         if got:
             out.append(got)
-            continue
-        for s in run[:: max(1, least // 8)]:  # the whole stretch isn't alike: its parts
-            if got := _aligned(a, b, int(s), int(s) + least, threshold):
-                out.append(got)
+        elif once:
+            out += _alike_runs(a, b, run, least, threshold)
+        else:
+            done = -1
+            for s in run.tolist():  # tokens that repeat: start by start, after a passage at its end
+                if s >= done and (got := _aligned(a, b, s, s + least, threshold)):
+                    out.append(got)
+                    done = got[3] - least // 2
     return out
 
 
+def _alike_runs(a: np.ndarray, b: np.ndarray, starts: np.ndarray, least: int, threshold: float) -> list[tuple[int, int, int, int]]:
+    """The alike runs of sequences without repeated tokens, joined where they overlap in both."""
+    by = np.argsort(a)
+    k = np.minimum(np.searchsorted(a[by], b), len(a) - 1)
+    nowhere = len(a) + 10 * least
+    place = np.where(a[by][k] == b, by[k], nowhere)
+    out: list[list[int]] = []
+    for part in np.array_split(starts, max(1, len(starts) // 4096)):
+        p = np.sort(place[part[:, None] + np.arange(least)], axis=1)
+        best, lo, hi = np.zeros(len(part)), np.zeros(len(part), dtype=np.int64), np.zeros(len(part), dtype=np.int64)
+        for m in range(least - spare_tokens(least, threshold) + 1, least + 1):  # shared tokens
+            for i in range(least - m + 1):
+                span = p[:, i + m - 1] - p[:, i] + 1
+                sim = np.where(p[:, i + m - 1] < nowhere, m / (least + span - m), 0.0)
+                up = sim > best
+                best[up], lo[up], hi[up] = sim[up], p[up, i], p[up, i + m - 1]
+        for s, x, y in zip(part[best >= threshold].tolist(), lo[best >= threshold].tolist(), hi[best >= threshold].tolist()):
+            if out and s <= out[-1][3] and x <= out[-1][1] and y >= out[-1][0]:
+                o = out[-1]
+                o[0], o[1], o[3] = min(o[0], x), max(o[1], y), s + least - 1
+            else:
+                out.append([x, y, s, s + least - 1])
+    return [tuple(o) for o in out]
+
+
 def _aligned(a: np.ndarray, b: np.ndarray, lo: int, hi: int, threshold: float) -> tuple[int, int, int, int] | None:
     part = b[lo:hi]
     hit = np.flatnonzero(np.isin(part, a))
@@ -248,73 +305,117 @@ def verified_passages(pairs: DataFrame, docs: DataFrame, least: int = LEAST, thr
 def repeated_windows(docs: DataFrame, hashes: int = HASHES, least: int = LEAST) -> DataFrame:
     """The windows whose signature occurs in two texts or more."""
     w = windows(docs, hashes, least)
-    sigs = materialize(w.groupBy("sig").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("sig"), "sigs")
+    sigs = materialize(w.groupBy("sig").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("sig"), "sigs")
     few = sigs.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     return w.join(F.broadcast(sigs) if few else sigs.hint("merge"), "sig", "left_semi")
 
 
-def rare_places(docs: DataFrame, members: DataFrame, least: int = LEAST, threshold: float = THRESHOLD) -> DataFrame:
-    """(a, a_lo, a_hi, b, b_lo, b_hi): segments that can hold a shared passage, for every pair
-    of places of ``members`` (doc_id, open, w: array of lo, hi) of which the second is open; a
-    text may have one row of open places and one of others.
+class Block:
+    """Stretches of texts (doc, lo, tokens) of one block, to be searched for alike ones."""
+
+    def __init__(self, docs: list[int], lows: list[int], seqs: list[bytes], closed: list[bool], leader: int):
+        self.docs, self.lows = docs, lows
+        self.seqs = [np.frombuffer(x, dtype=np.uint64) for x in seqs]
+        self.label = {d: leader if c else d for d, c in zip(docs, closed)}
+        token = np.concatenate(self.seqs)
+        row = np.repeat(np.arange(len(docs)), [len(x) for x in self.seqs])
+        by = np.argsort(token, kind="stable")
+        self.row = row[by]
+        self.token, self.at = np.unique(token[by], return_index=True)
+        doc = np.array(docs, dtype=np.int64)[self.row]
+        self.least_doc, self.most_doc = np.minimum.reduceat(doc, self.at), np.maximum.reduceat(doc, self.at)
+        self.at = np.r_[self.at, len(token)]
+        self.parent: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        while (up := self.parent.get(x, x)) != x:
+            x = up
+        return x
+
+    def passages(self, doc: int, lo: int, x: np.ndarray, least: int, threshold: float) -> list[tuple[int, ...]]:
+        """(a, a_lo, a_hi, b, b_lo, b_hi): what other texts of the block share with the stretch.
+
+        Texts in one component stand for each other once the stretch is covered."""
+        need = least - spare_tokens(least, threshold) + 1
+        if len(x) < least:
+            return []
+        k = np.minimum(np.searchsorted(self.token, x), len(self.token) - 1)
+        known = (self.token[k] == x) & ((self.least_doc[k] != doc) | (self.most_doc[k] != doc))
+        count = lambda f: np.diff(np.concatenate([[0], np.cumsum(f)])[np.r_[0 : len(x) - least + 1, least : len(x) + 1].reshape(2, -1)], axis=0)[0]
+        possible = count(known) >= need
+        if not possible.any():
+            return []
+        plain = len(np.unique(x)) == len(x)
+        inside = np.unique(k[known])
+        n = self.at[inside + 1] - self.at[inside]
+        rows = self.row[np.repeat(self.at[inside] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))]
+        shared = np.bincount(rows, minlength=len(self.docs))
+        covered, out = np.zeros(len(x), dtype=bool), []
+        for r in np.argsort(-shared, kind="stable").tolist():
+            if shared[r] < (need if plain else 1):
+                break
+            if self.docs[r] == doc:
+                continue
+            mine, other = self.root(self.label.get(doc, doc)), self.root(self.label[self.docs[r]])
+            if mine == other and not (possible & (count(covered) < need)).any():
+                continue
+            for p in shared_passages(self.seqs[r], x, least, threshold):
+                out.append((self.docs[r], self.lows[r] + p[0], self.lows[r] + p[1], doc, lo + p[2], lo + p[3]))
+                covered[p[2] : p[3] + 1] = True
+                mine, other = self.root(mine), self.root(other)
+                self.parent[max(mine, other)] = min(mine, other)
+        return out
+
+
+def merged_stretches(rows: DataFrame, by: list[str]) -> DataFrame:
+    """(``by``, lo, hi): the stretches of a text joined where they overlap."""
+    lists = rows.groupBy(*by).agg(F.array_sort(F.collect_set(F.struct(F.col("lo").cast("long").alias("lo"), F.col("hi").cast("long").alias("hi")))).alias("w"))
+    # the last stretch closes when the next one begins beyond it
+    merged = F.expr(
+        """aggregate(w, cast(array() as array<struct<lo:long,hi:long>>),
+        (m, x) -> if(size(m) > 0 and element_at(m, -1).hi >= x.lo,
+            concat(slice(m, 1, size(m) - 1), array(named_struct('lo', element_at(m, -1).lo, 'hi', greatest(element_at(m, -1).hi, x.hi)))),
+            concat(m, array(x))))"""
+    )
+    return lists.select(*by, F.explode(merged).alias("m")).select(*by, "m.lo", "m.hi")
+
+
+def block_passages(docs: DataFrame, pending: DataFrame, places: DataFrame, least: int, threshold: float) -> DataFrame:
+    """Verified passages between the open stretches ``pending`` (leader, doc_id, lo, hi) and all
+    ``places`` (leader, doc_id, lo, hi) of their leader's groups: a query set against all rows, in
+    blocks of bounded bytes; every pair of blocks is one small task."""
+    open_ = materialize(merged_stretches(pending, ["leader", "doc_id"]), "open")
+    marked = open_.select("leader", "doc_id").distinct().withColumn("opened", F.lit(True))
+    pool = merged_stretches(places, ["leader", "doc_id"]).join(materialize(marked, "opened"), ["leader", "doc_id"], "left")
+    pool = materialize(pool.withColumn("closed", F.col("opened").isNull()).drop("opened"), "pool")
+    size = F.sum(F.col("hi") - F.col("lo") + 1) * 8
+    blocks = lambda df, n: df.groupBy("leader").agg(F.ceil(size / F.lit(BLOCK_BYTES)).cast("int").alias(n))
+    info = materialize(blocks(open_, "nq").join(blocks(pool, "np"), "leader"), "blocks")
+    ids = materialize(pool.join(info.select("leader"), "leader", "left_semi").select("doc_id").distinct(), "ids")
+    seqs = materialize(_token_seqs(only_ids(docs, ids)).dropDuplicates(["doc_id"]), "seqs")
+    own = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    cut = F.expr("substring(seq, cast(lo * 8 + 1 as int), cast((hi - lo + 1) * 8 as int))").alias("seq")
+    cols = ["leader", "q", "p", "doc_id", "lo", "closed"]
 
-    Exact prefix filtering: of the ``least`` tokens of a stretch at most ``least - need`` aren't
-    shared, so in one order of all tokens (rarest first) the first shared token is among the
-    ``least - need + 1`` rarest of the stretch, on both sides. Those tokens are the keys. All
-    places of a key count; those whose surroundings overlap are one segment.
-    """
-    spare = spare_tokens(least, threshold)
+    def dealt(df: DataFrame, q: Column, p: Column) -> DataFrame:
+        return df.join(info, "leader").withColumn("q", q).withColumn("p", p).select(*cols, "hi").join(seqs, "doc_id").select(*(F.col(c).alias(c) for c in cols), cut)
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for k in range(b.num_rows):
-                doc, open_, seq, ws = (b.column(i)[k].as_py() for i in range(4))
-                x = np.frombuffer(seq, dtype=np.int64)
-                edge = np.zeros(len(x) + 1, dtype=np.int64)
-                for w in ws:
-                    if w["lo"] < len(x):
-                        edge[w["lo"]] += 1
-                        edge[min(w["hi"] + 1, len(x))] -= 1
-                at = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
-                if len(at):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), doc)), pa.array(np.full(len(at), open_)), pa.array(x[at]), pa.array(at)], ["doc_id", "open", "token", "at"])
-
-    seqs = _token_seqs(only_ids(docs, members.select("doc_id").distinct())).dropDuplicates(["doc_id"])
-    tokens = materialize(map_arrow(seqs.join(members, "doc_id").select("doc_id", "open", "seq", "w"), places, "doc_id long, open boolean, token long, at long"), "places")
-    df = tokens.groupBy("token").agg(F.when(F.min("doc_id") < F.max("doc_id"), F.count(F.lit(1))).otherwise(F.lit(1)).alias("df"))
-
-    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for k in range(b.num_rows):
-                doc, open_ = b.column(0)[k].as_py(), b.column(1)[k].as_py()
-                rows = b.column(2)[k].values
-                pos, token, n = (np.asarray(rows.field(c)) for c in ("at", "token", "df"))
-                by = np.argsort(pos)
-                pos, token, n = pos[by], token[by], n[by]
-                rank = np.empty(len(pos), dtype=np.int64)
-                rank[np.lexsort((pos, token, n))] = np.arange(len(pos))
-                keep = np.zeros(len(pos), dtype=bool)
-                for run in np.split(np.arange(len(pos)), np.flatnonzero(np.diff(pos) > 1) + 1):
-                    width = min(least, len(run))
-                    stretches = np.lib.stride_tricks.sliding_window_view(rank[run], width)
-                    for s in range(0, len(stretches), 4096):
-                        part = stretches[s : s + 4096]
-                        first = np.argpartition(part, min(spare, width) - 1, axis=1)[:, :spare]
-                        keep[run[0] + s + (first + np.arange(len(part))[:, None]).ravel()] = True
-                keep &= n > 1
-                got = np.lexsort((pos[keep], token[keep]))
-                t, p = token[keep][got], pos[keep][got]
-                if len(t):
-                    new = np.flatnonzero(np.r_[True, (t[1:] != t[:-1]) | (p[1:] - p[:-1] >= 2 * least - 1)])
-                    last = np.r_[new[1:], len(t)] - 1
-                    cols = [np.full(len(new), doc), np.full(len(new), open_), t[new], np.maximum(p[new] - least + 1, 0), p[last] + least - 1]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["doc_id", "open", "token", "lo", "hi"])
-
-    listed = tokens.join(df, "token").groupBy("doc_id", "open").agg(F.collect_list(F.struct("at", "token", "df")).alias("rows"))
-    keys = materialize(map_arrow(listed, rarest, "doc_id long, open boolean, token long, lo long, hi long"), "rare")
-    side = lambda df_, x: df_.select("token", F.col("doc_id").alias(x), *(F.col(c).cast("int").alias(f"{x}_{c}") for c in ("lo", "hi")))
-    met = side(keys.where("open"), "b").join(side(keys, "a"), "token").where("a <> b")
-    return met.select("a", "a_lo", "a_hi", "b", "b_lo", "b_hi")
+    query = dealt(open_.withColumn("closed", F.lit(False)), own("nq"), all_of("np"))
+    rows = dealt(pool, all_of("nq"), own("np"))
+
+    def compare(query: pa.Table, rows: pa.Table) -> pa.Table:
+        found = []
+        if query.num_rows and rows.num_rows:
+            col = lambda t, c: t.column(c).to_pylist()
+            block = Block(col(rows, "doc_id"), col(rows, "lo"), col(rows, "seq"), col(rows, "closed"), col(rows, "leader")[0])
+            for doc, lo, seq in zip(col(query, "doc_id"), col(query, "lo"), col(query, "seq")):
+                found += block.passages(doc, lo, np.frombuffer(seq, dtype=np.uint64), least, threshold)
+        cols = list(zip(*found)) if found else [()] * 6
+        return pa.table([pa.array(c, pa.int64()) for c in cols], names=["a", "a_lo", "a_hi", "b", "b_lo", "b_hi"])
+
+    by = ["leader", "q", "p"]
+    return materialize(query.groupBy(*by).cogroup(rows.groupBy(*by)).applyInArrow(compare, "a long, a_lo long, a_hi long, b long, b_lo long, b_hi long"), "passages")
 
 
 def spare_tokens(least: int, threshold: float) -> int:
@@ -323,8 +424,8 @@ def spare_tokens(least: int, threshold: float) -> int:
 
 
 def open_stretches(met: DataFrame, passages: DataFrame, least: int, threshold: float) -> DataFrame:
-    """(key, doc_id, lo, hi): what the passages verified between a and b leave open of the places
-    of ``met`` (key, a, b, b_lo, b_hi): every stretch of ``least`` tokens inside a place with
+    """(key, leader, doc_id, lo, hi): what the passages verified between a and b leave open of the
+    places of ``met`` (key, a, b, b_lo, b_hi): every stretch of ``least`` tokens inside a place with
     more tokens outside the passages than two alike stretches may differ in."""
     spare = spare_tokens(least, threshold)
     found = passages.groupBy("a", "b").agg(F.sort_array(F.collect_set(F.struct(F.col("b_lo").cast("int").alias("s"), F.col("b_hi").cast("int").alias("e")))).alias("done"))
@@ -338,36 +439,61 @@ def open_stretches(met: DataFrame, passages: DataFrame, least: int, threshold: f
     )
     reach = least - spare
     left = met.join(found, ["a", "b"], "left").withColumn("g", F.explode(gaps))
-    left = left.select("key", F.col("b").alias("doc_id"), F.greatest("b_lo", F.col("g.lo") - reach).alias("lo"), F.least("b_hi", F.col("g.hi") + reach).alias("hi"))
+    left = left.select("key", F.col("a").alias("leader"), F.col("b").alias("doc_id"), F.greatest("b_lo", F.col("g.lo") - reach).alias("lo"), F.least("b_hi", F.col("g.hi") + reach).alias("hi"))
     return left.where(F.col("hi") - F.col("lo") + 1 >= least).distinct()
 
 
 def passage_links(docs: DataFrame, members: DataFrame, least: int = LEAST, threshold: float = THRESHOLD) -> DataFrame:
-    """Verified passages among texts that share keys; ``members`` (key, doc_id, lo, hi).
+    """Verified passages (a, a_lo, a_hi, b, b_lo, b_hi) among texts that share keys; ``members``
+    (key, doc_id, lo, hi).
 
     Each place of a key's group is compared with the first place of the group's leader. Only
-    the stretches verified there are closed; all others, and the leader's further places,
-    meet every place of the group's texts that can be alike."""
-    sizes = members.groupBy("key").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("y")).where("leader < y").select("key", "leader")
-    pool = materialize(members.select("key", "doc_id", F.col("lo").cast("int").alias("lo"), F.col("hi").cast("int").alias("hi")).join(sizes, "key"), "members")
+    the stretches verified there are closed; all others, and the leader's further places, are
+    compared with every place of the texts that the leader met there."""
+    sizes = materialize(members.groupBy("key").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("y")).where("leader < y").select("key", "leader"), "sizes")
+    pool = materialize(members.join(sizes, "key"), "members")
     own = pool.where("doc_id = leader")
-    lead = materialize(own.groupBy("key", "doc_id").agg(F.min(F.struct("lo", "hi")).alias("s")).select("key", F.col("s.lo").alias("a_lo"), F.col("s.hi").alias("a_hi")), "leaders")
+    lead = materialize(own.groupBy("key").agg(F.min(F.struct("lo", "hi")).alias("s")).select("key", F.col("s.lo").alias("a_lo"), F.col("s.hi").alias("a_hi")), "leaders")
     met = pool.where("doc_id <> leader").join(lead, "key").select("key", F.col("leader").alias("a"), "a_lo", "a_hi", F.col("doc_id").alias("b"), F.col("lo").alias("b_lo"), F.col("hi").alias("b_hi"))
     met = materialize(met, "met")
     links = verified_passages(met, docs, least, threshold)
-    further = own.join(lead, "key").where("lo <> a_lo OR hi <> a_hi").select("key", "doc_id", "lo", "hi")
+    further = own.join(lead, "key").where("lo <> a_lo OR hi <> a_hi").select("key", "leader", "doc_id", "lo", "hi")
     pending = materialize(open_stretches(met, links, least, threshold).unionByName(further), "pending")
-    if pending.limit(1).count() == 0:
-        return links
-    rest = pool.join(pending.select("key").distinct(), "key", "left_semi")
-    spans = lambda df, o: df.select("doc_id", F.lit(o).alias("open"), F.struct("lo", "hi").alias("s"))
-    places = spans(rest, False).unionByName(spans(pending, True)).groupBy("doc_id", "open").agg(F.collect_set("s").alias("w"))
-    return links.unionByName(verified_passages(rare_places(docs, materialize(places, "rest"), least, threshold), docs, least, threshold))
+    places = pool.join(materialize(pending.select("key").distinct(), "keys"), "key", "left_semi")
+    return links.unionByName(block_passages(docs, pending, places, least, threshold))
+
+
+def passage_spans(links: DataFrame) -> DataFrame:
+    """(doc_id, start_word, end_word): the merged passages of each text, of (doc_id, s, e).
+
+    Starts and ends are counted by place first, so that what comes together for a text is no
+    longer than the text, however many partners it has."""
+    edges = links.select("doc_id", F.explode(F.array(F.struct(F.col("s").alias("at"), F.lit(1).alias("d")), F.struct(F.col("e").alias("at"), F.lit(-1).alias("d")))).alias("x"))
+    counted = edges.groupBy("doc_id", "x.at").agg(F.sum("x.d").alias("d"))
+    lists = counted.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("at", "d"))).alias("w"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for doc, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                depth, start = 0, 0
+                for x in w:
+                    if not depth:
+                        start = x["at"]
+                    depth += x["d"]
+                    if not depth and x["at"] > start:
+                        out.append((doc, start, x["at"]))
+            cols = list(zip(*out)) if out else [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "start_word", "end_word"])
+
+    return map_arrow(lists.select("doc_id", "w"), run, "doc_id long, start_word long, end_word long")
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", passage_words: int = PASSAGE_WORDS, threshold: float = THRESHOLD, hashes: int = HASHES) -> DataFrame:
     """One row per repeated passage of each document: doc_id, start_word, end_word (excluded),
-    n_words, n_links (texts it was verified against) and partner_id (the smallest of them)."""
+    n_words, n_links (texts it was verified against), partner_id (the smallest of them), class_id
+    and class_start (document and first word of the first passage of its class). A class is a
+    connected component of the verified links; texts of equal words are one passage each."""
     least = passage_words - SHINGLE + 1
     plain = with_text(docs, id_col, text_col).where("doc_id IS NOT NULL")
 
@@ -379,28 +505,40 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     keyed = materialize(map_arrow(plain, run, "doc_id long, key binary, n long"), "keys").where(F.col("n") >= passage_words)
     groups = materialize(keyed.groupBy("key").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("top"), F.countDistinct("doc_id").alias("size")).where("rep < top"), "groups")
-    copies = materialize(keyed.join(groups, "key"), "copies")
+    copies = materialize(keyed.join(groups, "key").select("doc_id", "n", "rep", "top", "size").distinct(), "copies")
     others = materialize(copies.where("doc_id <> rep").select("doc_id").distinct(), "ids")
     reps = only_ids(plain, others, "left_anti")
     members = materialize(joined_windows(repeated_windows(reps, hashes, least), least), "joined")
     links = passage_links(reps, members, least, threshold)
-    sides = [links.select(F.col(x).alias("doc_id"), F.col(f"{x}_lo").alias("s"), (F.col(f"{x}_hi") + SHINGLE).alias("e"), F.col(y).alias("partner")) for x, y in (("a", "b"), ("b", "a"))]
-    whole = copies.select("doc_id", F.lit(0).cast("long").alias("s"), F.col("n").alias("e"), F.when(F.col("doc_id") == F.col("rep"), F.col("top")).otherwise(F.col("rep")).alias("partner"), (F.col("size") - 1).alias("links"))
-    near = sides[0].unionByName(sides[1]).groupBy("doc_id", "s", "e").agg(F.min("partner").alias("partner"), F.countDistinct("partner").alias("links"))
-    spans = near.unionByName(whole).groupBy("doc_id").agg(F.collect_set(F.struct("s", "e", "partner", "links")).alias("spans"))
-
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = []
-            for doc, found in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                out: list[list[int]] = []
-                for s in sorted((x["s"], x["e"], x["partner"], x["links"]) for x in found):
-                    if out and s[0] < out[-1][1]:
-                        out[-1] = [out[-1][0], max(out[-1][1], s[1]), min(out[-1][2], s[2]), max(out[-1][3], s[3])]
-                    else:
-                        out.append(list(s))
-                rows += [(doc, s, e, e - s, n, p) for s, e, p, n in out]
-            cols = list(zip(*rows)) if rows else [()] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "start_word", "end_word", "n_words", "n_links", "partner_id"])
-
-    return map_arrow(spans, join, "doc_id long, start_word long, end_word long, n_words long, n_links long, partner_id long")
+    # a text that has copies is one passage as a whole
+    whole = copies.where("doc_id = rep").select("doc_id", F.lit(0).cast("long").alias("s"), F.col("n").alias("e"), F.col("doc_id").alias("partner"))
+    sides = [links.select(F.col(x).alias("doc_id"), F.col(f"{x}_lo").alias("s"), (F.col(f"{x}_hi") + SHINGLE).alias("e"), F.col(y).alias("partner"), F.col(f"{y}_lo").alias("partner_s")) for x, y in (("a", "b"), ("b", "a"))]
+    ends = materialize(sides[0].unionByName(sides[1]), "ends")
+    spans = materialize(passage_spans(ends.select("doc_id", "s", "e").unionByName(whole.select("doc_id", "s", "e")).distinct()), "spans")
+    inside = lambda at: (F.col(at) >= F.col("start_word")) & (F.col(at) < F.col("end_word"))
+    placed = materialize(ends.join(spans, "doc_id").where(inside("s")).select("doc_id", "start_word", "partner", "partner_s"), "placed")
+    near = placed.select("doc_id", "start_word", "partner").distinct().groupBy("doc_id", "start_word").agg(F.min("partner").alias("partner"), F.count(F.lit(1)).alias("links"))
+    other = spans.select(F.col("doc_id").alias("partner"), F.col("start_word").alias("other_start"), F.col("end_word").alias("other_end"))
+    node = lambda d, s: F.xxhash64(d, s)
+    edges = placed.where("doc_id < partner").join(other, "partner").where("partner_s >= other_start AND partner_s < other_end")
+    labels = components(edges.select(node("doc_id", "start_word").alias("a"), node("partner", "other_start").alias("b")).distinct())
+    noded = materialize(spans.withColumn("node", node("doc_id", "start_word")).join(labels.withColumnRenamed("doc_id", "node"), "node", "left").withColumn("label", F.coalesce("label", "node")).drop("node"), "noded")
+    first = materialize(noded.groupBy("label").agg(F.min(F.struct("doc_id", "start_word")).alias("f")).select("label", F.col("f.doc_id").alias("class_id"), F.col("f.start_word").alias("class_start")), "classes")
+    size = copies.where("doc_id = rep").select("doc_id", F.col("top"), (F.col("size") - 1).alias("more"))
+    found = noded.join(first, "label").join(near, ["doc_id", "start_word"], "left").join(size, "doc_id", "left")
+    found = materialize(
+        found.select(
+            "doc_id",
+            "start_word",
+            "end_word",
+            (F.col("end_word") - F.col("start_word")).alias("n_words"),
+            (F.coalesce("links", F.lit(0)) + F.coalesce("more", F.lit(0))).alias("n_links"),
+            F.coalesce(F.least("partner", "top"), "partner", "top").alias("partner_id"),
+            "class_id",
+            "class_start",
+        ),
+        "found",
+    )
+    same = found.select(F.col("doc_id").alias("rep"), *(c for c in found.columns if c not in ("doc_id", "partner_id")))
+    again = copies.where("doc_id <> rep").select("doc_id", "rep").join(same, "rep").withColumn("partner_id", F.col("rep")).drop("rep")
+    return found.unionByName(again)

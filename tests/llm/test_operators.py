@@ -435,7 +435,8 @@ def test_near_dedup_finds_links_between_members_that_fail_their_leader(spark, mo
     assert got == want and 1 < len(set(want.values())) < 60
 
 
-def test_rare_places_lose_no_passage(spark):
+def test_block_comparison_loses_no_passage(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "BLOCK_BYTES", 4000)  # many blocks a group
     r = random.Random(12)
     common = [f"c{i}" for i in range(20)]
     passage = [f"p{i}" for i in range(55)]
@@ -447,10 +448,82 @@ def test_rare_places_lose_no_passage(spark):
             w[at:at] = passage
         rows[i] = w
     d = spark.createDataFrame([(i, " ".join(w)) for i, w in rows.items()], DOC)
-    m = spark.createDataFrame([(i, i == 17, [(0, 500)]) for i in rows], "doc_id long, open boolean, w array<struct<lo:int,hi:int>>")
-    found = substring_dedup.rare_places(d, m)
-    assert {r_["a"] for r_ in found.collect()} == {4, 23} and {r_["b"] for r_ in found.collect()} == {17}
-    assert {(x["a"], x["b"]) for x in substring_dedup.verified_passages(found, d).collect()} == {(4, 17), (23, 17)}
+    places = spark.createDataFrame([(0, i, 0, 130) for i in rows], "leader long, doc_id long, lo int, hi int")
+    found = substring_dedup.block_passages(d, places.where("doc_id = 17"), places, substring_dedup.LEAST, 0.8).collect()
+    assert {(x["a"], x["b"]) for x in found} == {(4, 17), (23, 17)}
+    # texts that stand in one component stand for each other, so nothing is emitted pair by pair
+    found = substring_dedup.block_passages(d, places.where("doc_id IN (4, 17, 23)"), places, substring_dedup.LEAST, 0.8).collect()
+    assert len({x["b"] for x in found}) == 3 and len(found) <= 6
+
+
+def test_interval_pairs_against_all_pairs():
+    r = np.random.default_rng(4)
+    for _ in range(30):
+        rows = []
+        for h in range(4):
+            cuts = np.sort(r.choice(200, 20, replace=False))
+            rows += [((int(r.integers(8)) << 3) | h, int(x), int(y) - 1) for x, y in zip(cuts[:-1], cuts[1:]) if r.random() < 0.6]
+        sig, lo, hi = (np.array(c, dtype=np.int64) for c in zip(*rows))
+        x, y, first, last = substring_dedup.interval_pairs(sig, lo, hi)
+        got = {(min(a, b), max(a, b), i) for a, b, f, t in zip(x.tolist(), y.tolist(), first.tolist(), last.tolist()) for i in range(f, t + 1)}
+        want = {(min(a, c), max(a, c), i) for a, f, t in rows for c, g, u in rows if (a ^ c) & 7 for i in range(max(f, g), min(t, u) + 1)}
+        assert got == want
+
+
+def alike_somewhere(a, b, least, threshold):
+    """Whether a run of ``least`` tokens of b is alike with a run of a, by trying all."""
+    for s in range(len(b) - least + 1):
+        part = set(b[s : s + least].tolist())
+        for t in range(len(a)):
+            other = set()
+            for k in range(t, min(len(a), t + 2 * least)):
+                other.add(int(a[k]))
+                if len(part & other) >= threshold * len(part | other):
+                    return True
+    return False
+
+
+@pytest.mark.parametrize("distinct", [True, False])
+def test_verification_tries_every_start(distinct):
+    r = np.random.default_rng(8)
+    seen = Counter()
+    for _ in range(150):
+        a = r.permutation(40).astype(np.uint64) + np.uint64(1)
+        if not distinct:  # a line of five tokens stands twice
+            a[25:30] = a[3:8]
+        b = np.concatenate([a[r.integers(0, 8) :], r.permutation(10) + 100]).astype(np.uint64)
+        at = r.choice(len(b), int(r.integers(4, 16)), replace=False)
+        b[at] = 1000 + at
+        seen[bool(substring_dedup.shared_passages(a, b, 12, 0.8)), alike_somewhere(a, b, 12, 0.8)] += 1
+    assert seen[True, True] > 15 and seen[False, False] > 15
+    if distinct:
+        assert seen[False, True] == 0 and seen[True, False] <= 2  # a longer stretch may be alike as a whole
+    else:
+        assert seen[False, True] <= 0.05 * seen[True, True]
+
+
+@pytest.mark.parametrize("changes", [0, 1, 2])
+def test_recall_of_planted_passages_in_prose(spark, docs, changes):
+    r = random.Random(changes)
+    vocab = sorted({w.decode() for x in rows_of("documents")[:50] for w in words(x["text"])})
+    rows, alike = [], set()
+    for i in range(200):  # a passage of 65 words, with some words changed in its copy
+        passage = [r.choice(vocab) + ("" if r.random() < 0.7 else str(r.randrange(1000))) for _ in range(65)]
+        copy = list(passage)
+        for k in r.sample(range(65), changes):
+            copy[k] = f"e{i}x{k}"
+        same = [passage[k : k + 5] == copy[k : k + 5] for k in range(61)]
+        if max(sum(same[k : k + 46]) for k in range(16)) >= 41:  # 41 of 51 shingles: 0.8
+            alike.add(i)
+        for side, w in enumerate((passage, copy)):
+            out = [r.choice(vocab) + str(r.randrange(1000)) for _ in range(120)]
+            out[40:40] = w
+            rows.append((2 * i + side, " ".join(out)))
+    d = spark.createDataFrame(rows, DOC)
+    got = {x["doc_id"]: x["class_id"] for x in substring_dedup.substring_dedup(d).collect()}
+    found = sum(got.get(2 * i) == got.get(2 * i + 1) == 2 * i for i in alike)
+    print("recall", changes, found, len(alike), len(got) // 2)
+    assert found >= 0.97 * len(alike) and len(alike) >= (200, 195, 40)[changes] and all(i - i % 2 == c for i, c in got.items())
 
 
 def test_texts_that_repeat_themselves_stay_small(spark):
