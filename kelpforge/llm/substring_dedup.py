@@ -174,12 +174,12 @@ def joined_windows(repeated: DataFrame, least: int = LEAST) -> DataFrame:
 
 
 def _token_seqs(docs: DataFrame) -> DataFrame:
-    """(doc_id, seq): all shingles in order, as 64-bit numbers."""
+    """(doc_id, seq): all shingles in order, as 32-bit numbers (a passage is 46 of them or more)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches):
             sh, off, _ = shingle_hashes([t.encode() for t in b.column(1).to_pylist()], short=False)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([sh[i:j].tobytes() for i, j in zip(off[:-1], off[1:])], pa.binary())], ["doc_id", "seq"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([sh[i:j].astype(np.uint32).tobytes() for i, j in zip(off[:-1], off[1:])], pa.binary())], ["doc_id", "seq"])
 
     return map_arrow(docs.select("doc_id", "text"), run, "doc_id long, seq binary")
 
@@ -271,8 +271,22 @@ def _aligned(a: np.ndarray, b: np.ndarray, lo: int, hi: int, threshold: float) -
     return a_lo, a_hi - 1, lo, hi - 1
 
 
-def verified_passages(pairs: DataFrame, docs: DataFrame, least: int = LEAST, threshold: float = THRESHOLD) -> DataFrame:
-    """(a, a_lo, a_hi, b, b_lo, b_hi) of the candidate segments of pairs (a, b), materialized."""
+def open_gaps(passages: list[tuple[int, int, int, int]], size: int, least: int, threshold: float) -> list[tuple[int, int]]:
+    """What passages (a_lo, a_hi, b_lo, b_hi) leave open of ``size`` tokens of b: every stretch of
+    ``least`` tokens with more tokens outside them than two alike stretches may differ in."""
+    spare = spare_tokens(least, threshold)
+    at, out = 0, []
+    for lo, hi in [*sorted(p[2:] for p in passages), (size, size)]:
+        if lo - at >= spare:
+            first, last = max(0, at - least + spare), min(size, lo + least - spare) - 1
+            if last - first + 1 >= least:
+                out.append((first, last))
+        at = max(at, hi + 1)
+    return out
+
+
+def segments(pairs: DataFrame) -> DataFrame:
+    """(a, b, a_lo, a_hi, b_lo, b_hi): the candidate segments of pairs, joined and materialized."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
@@ -280,31 +294,38 @@ def verified_passages(pairs: DataFrame, docs: DataFrame, least: int = LEAST, thr
             cols = list(zip(*rows)) if rows else [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["a", "b", "a_lo", "a_hi", "b_lo", "b_hi"])
 
+    grouped = pairs.groupBy("a", "b").agg(F.collect_set(F.struct("a_lo", "a_hi", "b_lo", "b_hi")).alias("seg"))
+    return materialize(map_arrow(grouped, merge, "a long, b long, a_lo long, a_hi long, b_lo long, b_hi long"), "segments")
+
+
+def verified_passages(found: DataFrame, docs: DataFrame, least: int = LEAST, threshold: float = THRESHOLD) -> DataFrame:
+    """(linked, a, a_lo, a_hi, b, b_lo, b_hi) of segments (a, b, a_lo, a_hi, b_lo, b_hi),
+    materialized: verified passages, and (not linked) the stretches of b that they leave open."""
+
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             rows = []
             for k in range(0, x.num_rows, 128):
                 part = x.slice(k, 128)
                 for a, b, a_lo, b_lo, sa, sb in zip(*(c.to_pylist() for c in part.columns)):
-                    for p in shared_passages(np.frombuffer(sa, dtype=np.uint64), np.frombuffer(sb, dtype=np.uint64), least, threshold):
-                        rows.append((a, b, a_lo + p[0], a_lo + p[1], b_lo + p[2], b_lo + p[3]))
-            cols = list(zip(*rows)) if rows else [()] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["a", "b", "a_lo", "a_hi", "b_lo", "b_hi"])
+                    y = np.frombuffer(sb, dtype=np.uint32)
+                    got = shared_passages(np.frombuffer(sa, dtype=np.uint32), y, least, threshold)
+                    rows += [(True, a, b, a_lo + p[0], a_lo + p[1], b_lo + p[2], b_lo + p[3]) for p in got]
+                    rows += [(False, a, b, None, None, b_lo + lo, b_lo + hi) for lo, hi in open_gaps(got, len(y), least, threshold)]
+            cols = list(zip(*rows)) if rows else [()] * 7
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.bool_()), *(pa.array(c, pa.int64()) for c in cols[1:])], ["linked", "a", "b", "a_lo", "a_hi", "b_lo", "b_hi"])
 
-    names = "a long, b long, a_lo long, a_hi long, b_lo long, b_hi long"
-    grouped = pairs.groupBy("a", "b").agg(F.collect_set(F.struct("a_lo", "a_hi", "b_lo", "b_hi")).alias("seg"))
-    found = materialize(map_arrow(grouped, merge, names), "segments")
     ids = materialize(found.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
     seqs = materialize(_token_seqs(only_ids(docs, ids)).dropDuplicates(["doc_id"]), "seqs")
     for side in ("a", "b"):
-        cut = F.expr(f"substring(seq, cast({side}_lo * 8 + 1 as int), cast(({side}_hi - {side}_lo + 1) * 8 as int))")
+        cut = F.expr(f"substring(seq, cast({side}_lo * 4 + 1 as int), cast(({side}_hi - {side}_lo + 1) * 4 as int))")
         found = found.join(seqs.withColumnRenamed("doc_id", side), side).withColumn(f"seq_{side}", cut).drop("seq")
-    return materialize(map_arrow(found.select("a", "b", "a_lo", "b_lo", "seq_a", "seq_b"), check, names), "passages")
+    return materialize(map_arrow(found.select("a", "b", "a_lo", "b_lo", "seq_a", "seq_b"), check, "linked boolean, a long, b long, a_lo long, a_hi long, b_lo long, b_hi long"), "passages")
 
 
 def repeated_windows(docs: DataFrame, hashes: int = HASHES, least: int = LEAST) -> DataFrame:
     """The windows whose signature occurs in two texts or more."""
-    w = windows(docs, hashes, least)
+    w = materialize(windows(docs, hashes, least), "windows")
     sigs = materialize(w.groupBy("sig").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("sig"), "sigs")
     few = sigs.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     return w.join(F.broadcast(sigs) if few else sigs.hint("merge"), "sig", "left_semi")
@@ -315,14 +336,14 @@ class Block:
 
     def __init__(self, docs: list[int], lows: list[int], seqs: list[bytes], closed: list[bool], leader: int):
         self.docs, self.lows = docs, lows
-        self.seqs = [np.frombuffer(x, dtype=np.uint64) for x in seqs]
+        self.seqs = [np.frombuffer(x, dtype=np.uint32) for x in seqs]
         self.label = {d: leader if c else d for d, c in zip(docs, closed)}
         token = np.concatenate(self.seqs)
         row = np.repeat(np.arange(len(docs)), [len(x) for x in self.seqs])
         by = np.argsort(token, kind="stable")
-        self.row = row[by]
+        self.row, self.doc_of = row[by], np.array(docs, dtype=np.int64)
         self.token, self.at = np.unique(token[by], return_index=True)
-        doc = np.array(docs, dtype=np.int64)[self.row]
+        doc = self.doc_of[self.row]
         self.least_doc, self.most_doc = np.minimum.reduceat(doc, self.at), np.maximum.reduceat(doc, self.at)
         self.at = np.r_[self.at, len(token)]
         self.parent: dict[int, int] = {}
@@ -341,29 +362,36 @@ class Block:
             return []
         k = np.minimum(np.searchsorted(self.token, x), len(self.token) - 1)
         known = (self.token[k] == x) & ((self.least_doc[k] != doc) | (self.most_doc[k] != doc))
-        count = lambda f: np.diff(np.concatenate([[0], np.cumsum(f)])[np.r_[0 : len(x) - least + 1, least : len(x) + 1].reshape(2, -1)], axis=0)[0]
-        possible = count(known) >= need
-        if not possible.any():
+        total = np.concatenate([[0], np.cumsum(known)])
+        if not (total[least:] - total[:-least] >= need).any():
             return []
-        plain = len(np.unique(x)) == len(x)
-        inside = np.unique(k[known])
-        n = self.at[inside + 1] - self.at[inside]
-        rows = self.row[np.repeat(self.at[inside] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))]
-        shared = np.bincount(rows, minlength=len(self.docs))
-        covered, out = np.zeros(len(x), dtype=bool), []
-        for r in np.argsort(-shared, kind="stable").tolist():
-            if shared[r] < (need if plain else 1):
-                break
-            if self.docs[r] == doc:
-                continue
-            mine, other = self.root(self.label.get(doc, doc)), self.root(self.label[self.docs[r]])
-            if mine == other and not (possible & (count(covered) < need)).any():
-                continue
-            for p in shared_passages(self.seqs[r], x, least, threshold):
-                out.append((self.docs[r], self.lows[r] + p[0], self.lows[r] + p[1], doc, lo + p[2], lo + p[3]))
-                covered[p[2] : p[3] + 1] = True
-                mine, other = self.root(mine), self.root(other)
-                self.parent[max(mine, other)] = min(mine, other)
+        # which rows hold which tokens of x, and at which starts enough of them
+        at = np.flatnonzero(known)
+        n = self.at[k[at] + 1] - self.at[k[at]]
+        rows = self.row[np.repeat(self.at[k[at]] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))]
+        found = np.flatnonzero(np.bincount(rows, minlength=len(self.docs)) >= need)
+        found = found[self.doc_of[found] != doc]
+        number = np.full(len(self.docs), -1)
+        number[found] = np.arange(len(found))
+        holds = np.zeros((len(found), len(x) + 1), dtype=np.int32)
+        mine = number[rows] >= 0
+        holds[number[rows][mine], np.repeat(at, n)[mine] + 1] = 1
+        np.cumsum(holds, axis=1, out=holds)
+        starts = holds[:, least:] - holds[:, :-least] >= need
+        left, out = starts.any(axis=1), []
+        while left.any():
+            r = int(np.argmax(np.where(left, starts.sum(axis=1), -1)))
+            left[r] = False
+            other = int(found[r])
+            for p in shared_passages(self.seqs[other], x, least, threshold):
+                out.append((self.docs[other], self.lows[other] + p[0], self.lows[other] + p[1], doc, lo + p[2], lo + p[3]))
+                starts[:, max(0, p[2] - least + need) : max(0, p[3] + 2 - need)] = False
+                a, b = self.root(self.label.get(doc, doc)), self.root(self.label[self.docs[other]])
+                self.parent[max(a, b)] = min(a, b)
+            if out:  # what is covered needs only texts of other components
+                me = self.root(self.label.get(doc, doc))
+                apart = np.array([self.root(self.label[self.docs[i]]) != me for i in found.tolist()])
+                left &= apart | starts.any(axis=1)
         return out
 
 
@@ -388,14 +416,14 @@ def block_passages(docs: DataFrame, pending: DataFrame, places: DataFrame, least
     marked = open_.select("leader", "doc_id").distinct().withColumn("opened", F.lit(True))
     pool = merged_stretches(places, ["leader", "doc_id"]).join(materialize(marked, "opened"), ["leader", "doc_id"], "left")
     pool = materialize(pool.withColumn("closed", F.col("opened").isNull()).drop("opened"), "pool")
-    size = F.sum(F.col("hi") - F.col("lo") + 1) * 8
+    size = F.sum(F.col("hi") - F.col("lo") + 1) * 4
     blocks = lambda df, n: df.groupBy("leader").agg(F.ceil(size / F.lit(BLOCK_BYTES)).cast("int").alias(n))
     info = materialize(blocks(open_, "nq").join(blocks(pool, "np"), "leader"), "blocks")
     ids = materialize(pool.join(info.select("leader"), "leader", "left_semi").select("doc_id").distinct(), "ids")
     seqs = materialize(_token_seqs(only_ids(docs, ids)).dropDuplicates(["doc_id"]), "seqs")
     own = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
     all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    cut = F.expr("substring(seq, cast(lo * 8 + 1 as int), cast((hi - lo + 1) * 8 as int))").alias("seq")
+    cut = F.expr("substring(seq, cast(lo * 4 + 1 as int), cast((hi - lo + 1) * 4 as int))").alias("seq")
     cols = ["leader", "q", "p", "doc_id", "lo", "closed"]
 
     def dealt(df: DataFrame, q: Column, p: Column) -> DataFrame:
@@ -410,7 +438,7 @@ def block_passages(docs: DataFrame, pending: DataFrame, places: DataFrame, least
             col = lambda t, c: t.column(c).to_pylist()
             block = Block(col(rows, "doc_id"), col(rows, "lo"), col(rows, "seq"), col(rows, "closed"), col(rows, "leader")[0])
             for doc, lo, seq in zip(col(query, "doc_id"), col(query, "lo"), col(query, "seq")):
-                found += block.passages(doc, lo, np.frombuffer(seq, dtype=np.uint64), least, threshold)
+                found += block.passages(doc, lo, np.frombuffer(seq, dtype=np.uint32), least, threshold)
         cols = list(zip(*found)) if found else [()] * 6
         return pa.table([pa.array(c, pa.int64()) for c in cols], names=["a", "a_lo", "a_hi", "b", "b_lo", "b_hi"])
 
@@ -423,44 +451,27 @@ def spare_tokens(least: int, threshold: float) -> int:
     return least - ceil(round(2 * threshold / (1 + threshold) * least, 6)) + 1
 
 
-def open_stretches(met: DataFrame, passages: DataFrame, least: int, threshold: float) -> DataFrame:
-    """(key, leader, doc_id, lo, hi): what the passages verified between a and b leave open of the
-    places of ``met`` (key, a, b, b_lo, b_hi): every stretch of ``least`` tokens inside a place with
-    more tokens outside the passages than two alike stretches may differ in."""
-    spare = spare_tokens(least, threshold)
-    found = passages.groupBy("a", "b").agg(F.sort_array(F.collect_set(F.struct(F.col("b_lo").cast("int").alias("s"), F.col("b_hi").cast("int").alias("e")))).alias("done"))
-    # the end of the place closes the last gap
-    gaps = F.expr(
-        f"""aggregate(concat(coalesce(done, cast(array() as array<struct<s:int,e:int>>)), array(named_struct('s', b_hi + 1, 'e', b_hi + 1))),
-        named_struct('at', b_lo, 'gaps', cast(array() as array<struct<lo:int,hi:int>>)),
-        (x, p) -> named_struct('at', greatest(x.at, p.e + 1),
-            'gaps', if(least(p.s, b_hi + 1) - x.at >= {spare}, concat(x.gaps, array(named_struct('lo', x.at, 'hi', least(p.s, b_hi + 1) - 1))), x.gaps)),
-        x -> x.gaps)"""
-    )
-    reach = least - spare
-    left = met.join(found, ["a", "b"], "left").withColumn("g", F.explode(gaps))
-    left = left.select("key", F.col("a").alias("leader"), F.col("b").alias("doc_id"), F.greatest("b_lo", F.col("g.lo") - reach).alias("lo"), F.least("b_hi", F.col("g.hi") + reach).alias("hi"))
-    return left.where(F.col("hi") - F.col("lo") + 1 >= least).distinct()
-
-
 def passage_links(docs: DataFrame, members: DataFrame, least: int = LEAST, threshold: float = THRESHOLD) -> DataFrame:
     """Verified passages (a, a_lo, a_hi, b, b_lo, b_hi) among texts that share keys; ``members``
     (key, doc_id, lo, hi).
 
     Each place of a key's group is compared with the first place of the group's leader. Only
     the stretches verified there are closed; all others, and the leader's further places, are
-    compared with every place of the texts that the leader met there."""
-    sizes = materialize(members.groupBy("key").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("y")).where("leader < y").select("key", "leader"), "sizes")
-    pool = materialize(members.join(sizes, "key"), "members")
-    own = pool.where("doc_id = leader")
-    lead = materialize(own.groupBy("key").agg(F.min(F.struct("lo", "hi")).alias("s")).select("key", F.col("s.lo").alias("a_lo"), F.col("s.hi").alias("a_hi")), "leaders")
-    met = pool.where("doc_id <> leader").join(lead, "key").select("key", F.col("leader").alias("a"), "a_lo", "a_hi", F.col("doc_id").alias("b"), F.col("lo").alias("b_lo"), F.col("hi").alias("b_hi"))
-    met = materialize(met, "met")
-    links = verified_passages(met, docs, least, threshold)
-    further = own.join(lead, "key").where("lo <> a_lo OR hi <> a_hi").select("key", "leader", "doc_id", "lo", "hi")
-    pending = materialize(open_stretches(met, links, least, threshold).unionByName(further), "pending")
-    places = pool.join(materialize(pending.select("key").distinct(), "keys"), "key", "left_semi")
-    return links.unionByName(block_passages(docs, pending, places, least, threshold))
+    compared with every place of the texts that the leader met."""
+    first = F.min(F.struct("doc_id", "lo", "hi"))
+    lead = members.groupBy("key").agg(first.alias("s"), F.max("doc_id").alias("last")).where("s.doc_id < last")
+    lead = materialize(lead.select("key", F.col("s.doc_id").alias("a"), F.col("s.lo").alias("a_lo"), F.col("s.hi").alias("a_hi")), "leaders")
+    met = materialize(members.join(lead, "key").select("a", "a_lo", "a_hi", F.col("doc_id").alias("b"), F.col("lo").alias("b_lo"), F.col("hi").alias("b_hi")), "met")
+    found = segments(met.where("a <> b"))
+    checked = verified_passages(found, docs, least, threshold)
+    links = checked.where("linked").drop("linked")
+    further = materialize(met.where("a = b AND (a_lo <> b_lo OR a_hi <> b_hi)").select(F.col("a").alias("leader"), F.col("b").alias("doc_id"), F.col("b_lo").alias("lo"), F.col("b_hi").alias("hi")).distinct(), "further")
+    side = lambda df, x: df.select(F.col("a").alias("leader"), F.col(x).alias("doc_id"), F.col(f"{x}_lo").alias("lo"), F.col(f"{x}_hi").alias("hi"))
+    pending = materialize(side(checked.where("NOT linked"), "b").unionByName(further), "pending")
+    places = side(found, "b").unionByName(side(found, "a")).unionByName(further)
+    places = places.join(materialize(pending.select("leader").distinct(), "leaders"), "leader", "left_semi")
+    more = block_passages(docs, pending, places, least, threshold)
+    return links.unionByName(more)
 
 
 def passage_spans(links: DataFrame) -> DataFrame:
