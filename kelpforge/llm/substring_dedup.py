@@ -8,8 +8,7 @@ subsequences. A window's signature is its minimum.
 
 1. Rows of equal word sequences are one class; one of them goes on, the others repeat whole.
 2. Signatures that occur in one text only are dropped: two numbers for each signature are
-   aggregated, and only windows of repeated signatures come back (a size-checked broadcast
-   of those, or a shuffled join).
+   aggregated, and only windows of repeated signatures come back.
 3. Within a text, windows of different hashes are joined as intervals: where subsequences of
    ``LEAST`` tokens lie in two of them, they share ``AGREE`` = 2 signatures, and the pair of
    signatures becomes the key under which texts meet. Near-duplicate passages (similarity
@@ -38,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kelpforge.llm.common import BROADCAST_IDS, chunks, map_arrow, only_ids, with_text
+from kelpforge.llm.common import chunks, map_arrow, only_ids, with_text
 from kelpforge.llm.graph import components
 from kelpforge.llm.tokens import SHINGLE, mix, shingle_hashes, word_hashes
 from kelpforge.session import materialize
@@ -327,8 +326,7 @@ def repeated_windows(docs: DataFrame, hashes: int = HASHES, least: int = LEAST)
     """The windows whose signature occurs in two texts or more."""
     w = materialize(windows(docs, hashes, least), "windows")
     sigs = materialize(w.groupBy("sig").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("sig"), "sigs")
-    few = sigs.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return w.join(F.broadcast(sigs) if few else sigs.hint("merge"), "sig", "left_semi")
+    return w.join(sigs.hint("merge"), "sig", "left_semi")  # grows with the corpus: joined alike at every size
 
 
 class Block:
@@ -337,7 +335,11 @@ class Block:
     def __init__(self, docs: list[int], lows: list[int], seqs: list[bytes], closed: list[bool], leader: int):
         self.docs, self.lows = docs, lows
         self.seqs = [np.frombuffer(x, dtype=np.uint32) for x in seqs]
-        self.label = {d: leader if c else d for d, c in zip(docs, closed)}
+        #: by document: the number of its component; that of all closed texts is the first
+        self.number = {d: k for k, d in enumerate(dict.fromkeys([leader, *docs]), 0)}
+        self.label = np.arange(len(self.number))
+        self.label[[self.number[d] for d, c in zip(docs, closed) if c]] = 0
+        self.node = np.array([self.number[d] for d in docs])
         token = np.concatenate(self.seqs)
         row = np.repeat(np.arange(len(docs)), [len(x) for x in self.seqs])
         by = np.argsort(token, kind="stable")
@@ -346,12 +348,13 @@ class Block:
         doc = self.doc_of[self.row]
         self.least_doc, self.most_doc = np.minimum.reduceat(doc, self.at), np.maximum.reduceat(doc, self.at)
         self.at = np.r_[self.at, len(token)]
-        self.parent: dict[int, int] = {}
 
-    def root(self, x: int) -> int:
-        while (up := self.parent.get(x, x)) != x:
-            x = up
-        return x
+    def add(self, doc: int) -> int:
+        """The number of a text that searches the block."""
+        if doc not in self.number:
+            self.number[doc] = len(self.label)
+            self.label = np.r_[self.label, len(self.label)]
+        return self.number[doc]
 
     def passages(self, doc: int, lo: int, x: np.ndarray, least: int, threshold: float) -> list[tuple[int, ...]]:
         """(a, a_lo, a_hi, b, b_lo, b_hi): what other texts of the block share with the stretch.
@@ -378,20 +381,17 @@ class Block:
         holds[number[rows][mine], np.repeat(at, n)[mine] + 1] = 1
         np.cumsum(holds, axis=1, out=holds)
         starts = holds[:, least:] - holds[:, :-least] >= need
-        left, out = starts.any(axis=1), []
-        while left.any():
-            r = int(np.argmax(np.where(left, starts.sum(axis=1), -1)))
-            left[r] = False
-            other = int(found[r])
+        order = np.argsort(-starts.sum(axis=1), kind="stable")
+        found, starts, out = found[order], starts[order], []
+        left, me, node = starts.any(axis=1), self.add(doc), self.node[found]
+        while len(again := np.flatnonzero(left & (starts.any(axis=1) | (self.label[node] != self.label[me])))):
+            left[again[0]] = False
+            other = int(found[again[0]])
             for p in shared_passages(self.seqs[other], x, least, threshold):
                 out.append((self.docs[other], self.lows[other] + p[0], self.lows[other] + p[1], doc, lo + p[2], lo + p[3]))
                 starts[:, max(0, p[2] - least + need) : max(0, p[3] + 2 - need)] = False
-                a, b = self.root(self.label.get(doc, doc)), self.root(self.label[self.docs[other]])
-                self.parent[max(a, b)] = min(a, b)
-            if out:  # what is covered needs only texts of other components
-                me = self.root(self.label.get(doc, doc))
-                apart = np.array([self.root(self.label[self.docs[i]]) != me for i in found.tolist()])
-                left &= apart | starts.any(axis=1)
+                a, b = self.label[me], self.label[self.node[other]]
+                self.label[self.label == max(a, b)] = min(a, b)
         return out
 
 
