@@ -12,6 +12,9 @@ text too. A core inside an ``article`` or ``main`` element is widened to it.
 Text: character references decoded, white space inside a block taken as one space, blocks
 joined in page order by one space.
 
+A form is furniture unless it holds most of the page's text. Where no name marks the furniture,
+the densities alone tell an article from lists of links.
+
 Defined cases: null html counts as empty; a page without text gives an empty string; a page
 that is furniture throughout falls back to all its visible text; repeated rows and null ids
 give a row each; an empty table gives an empty result; other columns are ignored.
@@ -36,8 +39,11 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 #: Elements of HTML by their role in parsing and layout.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style noscript template iframe textarea title svg math select object canvas audio video".split())
-_INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rb rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
+_RAW = frozenset("script style noscript template iframe textarea title svg select object canvas audio video annotation annotation-xml".split())
+_INLINE = frozenset(
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rb rp rt ruby s samp small span strike strong sub sup time tt u var wbr img "
+    "math mrow mi mo mn ms mtext mspace msup msub msubsup mfrac msqrt mroot mover munder munderover mstyle mtable mtr mtd semantics".split()
+)
 _CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split())
 #: An opening tag ends an open element of the second set, unless one of the third is met first.
 _IMPLIED = {
@@ -58,12 +64,22 @@ _FURNITURE_NAMES = frozenset(
     "cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription share sharing social related recommended recommendations "
     "comment comments commentlist disqus replies reply respond footer header masthead toolbar pagination pager widget login signin signup search skip".split()
 )
+#: Words that say how a named part is laid out, not what it is.
+_LAYOUT_NAMES = frozenset(
+    "area bar bars block body bottom box boxes btn button buttons card cards col column container content cta form group grid head heading icon icons inner item items left "
+    "link links list main media message module outer page panel post posts right row section site slot story stories text thread title top unit wide wrap wrapper".split()
+)
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 _NEGATIONS = frozenset("no not with without has have non".split())
 _CONTAINERS = frozenset("article main".split())
 
 
 def _furniture(tag: str, attrs: str, inside: bool) -> bool:
-    """Whether an element is furniture by its names; ``inside`` an article a header may stay."""
+    """Whether an element is furniture by its names.
+
+    Inside an article names are a weaker hint: a header or heading stays, and a class or id
+    counts only if all its words name furniture or layout ("share-buttons", not "social-history").
+    """
     if tag in _FURNITURE_TAGS and not (tag == "header" and inside):
         return True
     if not attrs or attrs.isspace():
@@ -74,10 +90,11 @@ def _furniture(tag: str, attrs: str, inside: bool) -> bool:
             return True
         if name == "role" and value.strip().lower() in _FURNITURE_ROLES:
             return True
-        if name in ("class", "id") and tag not in ("body", "html", "main"):
+        if name in ("class", "id") and tag not in ("body", "html", "main") and not (inside and tag in _HEADINGS):
             for word in value.split():
                 parts = [x.lower() for x in _NAME.findall(word)]
-                if any(p in _FURNITURE_NAMES and not (k and parts[k - 1] in _NEGATIONS) for k, p in enumerate(parts)):
+                named = [p in _FURNITURE_NAMES and not (k and parts[k - 1] in _NEGATIONS) for k, p in enumerate(parts)]
+                if any(named) and not (inside and not all(n or p in _LAYOUT_NAMES or p.isdigit() for n, p in zip(named, parts))):
                     return True
     return False
 
@@ -88,6 +105,8 @@ class Page:
     def __init__(self, html: str):
         self.tag, self.parent, self.drop, self.link = ["html"], [-1], [False], [False]
         self.own, self.inside = [0], [False]
+        #: whether an element itself is furniture, and whether that is only for being a form
+        self.named, self.by_tag = [False], [False]
         #: (element, text) in page order; a None text is a break between blocks
         self.texts: list[tuple[int, str | None]] = []
         stack = [0]
@@ -114,6 +133,26 @@ class Page:
             if tag in ("html", "body"):  # their tags may be given, repeated or left out
                 continue
             self._open(stack, tag, m[3])
+        self._keep_page_forms()
+
+    def _keep_page_forms(self) -> None:
+        """A form that holds most of the page's text outside furniture is its frame, not furniture."""
+        forms = [i for i, t in enumerate(self.tag) if t == "form" and self.by_tag[i]]
+        if not forms:
+            return
+        holder = [-1] * len(self.tag)  # the outermost form around an element
+        inner = [False] * len(self.tag)  # furniture by something else than forms
+        for i in range(1, len(self.tag)):  # parents come first
+            up = self.parent[i]
+            holder[i] = holder[up] if holder[up] >= 0 else i if self.by_tag[i] else -1
+            inner[i] = inner[up] or self.named[i] and not self.by_tag[i]
+        chars: dict[int, int] = {}
+        for i, n in enumerate(self.own):
+            if not inner[i]:
+                chars[holder[i]] = chars.get(holder[i], 0) + n
+        most = max(forms, key=lambda i: chars.get(i, 0))
+        if 2 * chars.get(most, 0) > sum(chars.values()):
+            self.drop = [inner[i] or holder[i] not in (-1, most) for i in range(len(self.tag))]
 
     def _text(self, node: int, raw: str, plain: bool = False) -> None:
         text = raw if plain or "&" not in raw else unescape(raw)
@@ -133,7 +172,10 @@ class Page:
         inside = self.inside[up]
         self.tag.append(tag)
         self.parent.append(up)
-        self.drop.append(self.drop[up] or _furniture(tag, attrs, inside))
+        named = _furniture(tag, attrs, inside)
+        self.named.append(named)
+        self.by_tag.append(named and tag == "form" and not _furniture("div", attrs, inside))
+        self.drop.append(self.drop[up] or named)
         self.link.append(self.link[up] or tag == "a")
         self.inside.append(inside or tag in _CONTAINERS)
         self.own.append(0)
