@@ -4,8 +4,8 @@ A pair of neighbouring bytes that occurs inside no token of the vocabulary can n
 merged, so every such place is a certain cut: the fragments on both sides are encoded on
 their own and their ids concatenated. Two uses follow from the table of those pairs:
 
-* inside a pre-token, every forced pair cuts it into pieces for the merge loop; pieces are
-  short and recur, and a long run without white space costs no more than its parts;
+* every pre-token is cut at all its forced pairs into pieces for the merge loop; a long run
+  without white space costs no more than its parts;
 * a text is first cut ahead of each run of white space. No pre-token reaches from another
   character into white space and the pre-tokenizer has no look-behind, so nothing is merged
   across this place either; these fragments recur, so a bounded cache holds their ids.
@@ -24,6 +24,7 @@ import json
 import re
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +43,7 @@ _SPACE_SPACE = re.compile(f"[{_SPACE}] |^ ")
 _STOPS = frozenset(".,;:!?")
 _FRAGMENT = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 #: Fragments that the cache of a worker holds (about 400 bytes each), and their longest length.
-CACHE, CACHED_CHARS = 100_000, 48
-#: Bytes up to which a pre-token goes to the merge loop without a search for cuts inside it.
-SHORT = 12
+CACHE, CACHED_CHARS = 160_000, 48
 #: Fragments that are encoded between two updates of the digests.
 BLOCK = 20_000
 
@@ -105,8 +104,7 @@ class ForcedBoundaryBpe:
     def _fresh(self, fragment: str) -> list[int]:
         ids: list[int] = []
         for pre in self._pretokens(fragment):
-            raw = pre.encode()
-            for piece in self.pieces(raw) if len(raw) > SHORT else (raw,):
+            for piece in self.pieces(pre.encode()):
                 ids += self._piece(piece)
         return ids
 
@@ -115,8 +113,8 @@ class ForcedBoundaryBpe:
         ids = self._fresh(fragment)
         out = ",".join(map(self.text_of.__getitem__, ids)), b"".join(map(self.bytes_of.__getitem__, ids)), ids
         if len(fragment) <= CACHED_CHARS:
-            if len(self._cache) >= CACHE:
-                self._cache.clear()
+            if len(self._cache) >= CACHE:  # what came first is mostly frequent: that half stays
+                self._cache = dict(islice(self._cache.items(), CACHE // 2))
             self._cache[fragment] = out
         return out
 
