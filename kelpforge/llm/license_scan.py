@@ -115,10 +115,19 @@ class NoticeSearch:
                     hi = max(hi, b)
             windows.append((lo, hi))
             for lo, hi in windows:
-                for m in self.patterns[k].finditer(text, lo, hi):
+                for m in self._matches(k, text, lo, hi):
                     out.add(self._span(starts, k, m.start(), m.end(), sum(m.fuzzy_counts)))
         return sorted(out, key=lambda s: (s[1], s[2], s[0], s[3], s[4]))
 
+    def _matches(self, k: int, text: str, lo: int, hi: int) -> Iterator[regex.Match]:
+        """All places of a notice in a window: the best match, then those before and after it."""
+        rest = [(lo, hi)]
+        while rest:
+            lo, hi = rest.pop()
+            if hi - lo >= len(self.notices[k].phrase) - self.notices[k].errors and (m := self.patterns[k].search(text, lo, hi)) and m.end() > m.start():
+                yield m
+                rest += [(lo, m.start()), (m.end(), hi)]
+
     def _span(self, starts: list[int], k: int, a: int, b: int, errors: int) -> tuple[str, int, int, int, bool, float]:
         first = max(0, bisect_left(starts, a + 1) - 1)
         n = self.notices[k]

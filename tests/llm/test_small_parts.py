@@ -223,3 +223,49 @@ def test_long_attribute_values_stay_attributes():
         for q in "\"'":
             value = "x" * n + "<b>oops</b>"
             assert html_extract.main_text(f"<article><div data-x={q}{value}{q}>{p}</div><div data-x={q}{value}{q} class=menu>m</div></article>") == body
+
+
+def test_every_notice_of_a_window_is_a_span():
+    search = license_scan.NoticeSearch(license_scan.NOTICES)
+    for text, label, n in (
+        ("relased under teh mit license released under the mit license", "mit", 2),
+        ("mozila public license mozilla public license mozilla publik license", "mpl", 3),
+        ("all rights reservd all rights reserved", "reserved", 2),
+    ):
+        got = [s for s in search.spans(words(text)) if s[0] == label]
+        assert len(got) == n and [s[1] for s in got] == sorted({s[1] for s in got})
+
+
+def test_all_forced_boundaries_cut():
+    b = bpe.load(public_tokenizers.path("byte_bpe_50k.json"))
+    pair = next((x, y) for x in range(97, 123) for y in range(33, 64) if not b.joined[x, y])
+    raw = bytes([97, *pair, 97])
+    assert b.pieces(raw)[0] == bytes([97, pair[0]]) and b"".join(b.pieces(raw)) == raw
+
+
+def test_density_decides_where_names_do_not(monkeypatch):
+    links = "".join(f"<li><a href='/{i}'>some other page number {i}</a></li>" for i in range(60))
+    page = f"<body><div><ul>{links}</ul></div><div><p>{'The article has sentences. ' * 12}</p><p>{'More of them follow. ' * 12}</p></div></body>"
+    assert html_extract.main_text(page).startswith("The article") and "other page" not in html_extract.main_text(page)
+
+    def plain(self):
+        sums = list(self.own)
+        for i in range(len(sums) - 1, 0, -1):
+            sums[self.parent[i]] += sums[i]
+        return [float(x) for x in sums], [float(x) for x in sums], sums
+
+    monkeypatch.setattr(html_extract.Page, "densities", plain)
+    assert "other page" in html_extract.main_text(page)
+
+
+def test_names_are_a_weak_hint_inside_an_article():
+    text = "<p>" + "Some words of the article. " * 5 + "</p>"
+    t = html_extract.main_text
+    page = f"<body><form action='/'><div class='menu'><a href='/'>Home</a></div><div><h1>Title</h1>{text}</div><div id='footer'>Imprint</div></form></body>"
+    assert t(page).startswith("Title Some words") and "Imprint" not in t(page) and "Home" not in t(page)
+    page = f"<article><h1 class='entry-header'>Title</h1>{text}<section class='social-history'><p>It was so.</p></section><div class='share-buttons'>Share</div><section class='comments'><p>Nice.</p></section></article>"
+    assert t(page).startswith("Title Some") and t(page).endswith("It was so.")
+    page = f"<article>{text}<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be.</p></article>"
+    assert t(page).endswith("Let x=2 be.")
+    page = f"<article>{text}<form><input><p>Write to us</p></form></article>"
+    assert t(page).endswith("article.")
