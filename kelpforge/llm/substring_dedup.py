@@ -172,7 +172,7 @@ def joined_windows(repeated: DataFrame, least: int = LEAST) -> DataFrame:
     return map_arrow(lists, run, "key long, doc_id long, lo int, hi int")
 
 
-def _token_seqs(docs: DataFrame) -> DataFrame:
+def token_seqs(docs: DataFrame) -> DataFrame:
     """(doc_id, seq): all shingles in order, as 32-bit numbers (a passage is 46 of them or more)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,26 +208,30 @@ def shared_passages(a: np.ndarray, b: np.ndarray, least: int, threshold: float)
     full = np.flatnonzero(total[least:] - total[:-least] >= need)
     if not len(full):
         return []
-    once = len(np.unique(a)) == len(a) and len(np.unique(b)) == len(b)
     out: list[tuple[int, int, int, int]] = []
+    repeats = None
     for run in np.split(full, np.flatnonzero(np.diff(full) > least) + 1):
         got = _aligned(a, b, int(run[0]), int(run[-1]) + least, threshold)
         if got:
             out.append(got)
-        elif once:
-            out += _alike_runs(a, b, run, least, threshold)
-        else:
-            done = -1
-            for s in run.tolist():  # tokens that repeat: start by start, after a passage at its end
-                if s >= done and (got := _aligned(a, b, s, s + least, threshold)):
-                    out.append(got)
-                    done = got[3] - least // 2
+            continue
+        if repeats is None:  # of each start, the tokens after it that stand more than once in a or b
+            often = np.concatenate([v[c > 1] for v, c in (np.unique(x, return_counts=True) for x in (a, b))])
+            repeats = np.concatenate([[0], np.cumsum(np.isin(b, often))]) if len(often) else np.zeros(len(b) + 1, dtype=np.int64)
+        plain = repeats[run + least] == repeats[run]
+        if plain.any():
+            out += _alike_runs(a, b, run[plain], least, threshold)
+        done = -1
+        for s in run[~plain].tolist():  # start by start, after a passage at its end
+            if s >= done and (got := _aligned(a, b, s, s + least, threshold)):
+                out.append(got)
+                done = got[3] - least // 2
     return out
 
 
 def _alike_runs(a: np.ndarray, b: np.ndarray, starts: np.ndarray, least: int, threshold: float) -> list[tuple[int, int, int, int]]:
-    """The alike runs of sequences without repeated tokens, joined where they overlap in both."""
-    by = np.argsort(a)
+    """The alike runs at starts without repeated tokens, joined where they overlap in both."""
+    by = np.argsort(a, kind="stable")
     k = np.minimum(np.searchsorted(a[by], b), len(a) - 1)
     nowhere = len(a) + 10 * least
     place = np.where(a[by][k] == b, by[k], nowhere)
@@ -297,9 +301,9 @@ def segments(pairs: DataFrame) -> DataFrame:
     return materialize(map_arrow(grouped, merge, "a long, b long, a_lo long, a_hi long, b_lo long, b_hi long"), "segments")
 
 
-def verified_passages(found: DataFrame, docs: DataFrame, least: int = LEAST, threshold: float = THRESHOLD) -> DataFrame:
-    """(linked, a, a_lo, a_hi, b, b_lo, b_hi) of segments (a, b, a_lo, a_hi, b_lo, b_hi),
-    materialized: verified passages, and (not linked) the stretches of b that they leave open."""
+def verified_passages(found: DataFrame, seqs: DataFrame, least: int = LEAST, threshold: float = THRESHOLD) -> DataFrame:
+    """(linked, a, a_lo, a_hi, b, b_lo, b_hi) of segments (a, b, a_lo, a_hi, b_lo, b_hi) of the
+    texts ``seqs`` (doc_id, seq), materialized: verified passages, and (not linked) the stretches of b that they leave open."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
@@ -314,8 +318,6 @@ def verified_passages(found: DataFrame, docs: DataFrame, least: int = LEAST, thr
             cols = list(zip(*rows)) if rows else [()] * 7
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.bool_()), *(pa.array(c, pa.int64()) for c in cols[1:])], ["linked", "a", "b", "a_lo", "a_hi", "b_lo", "b_hi"])
 
-    ids = materialize(found.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
-    seqs = materialize(_token_seqs(only_ids(docs, ids)).dropDuplicates(["doc_id"]), "seqs")
     for side in ("a", "b"):
         cut = F.expr(f"substring(seq, cast({side}_lo * 4 + 1 as int), cast(({side}_hi - {side}_lo + 1) * 4 as int))")
         found = found.join(seqs.withColumnRenamed("doc_id", side), side).withColumn(f"seq_{side}", cut).drop("seq")
@@ -366,32 +368,48 @@ class Block:
         k = np.minimum(np.searchsorted(self.token, x), len(self.token) - 1)
         known = (self.token[k] == x) & ((self.least_doc[k] != doc) | (self.most_doc[k] != doc))
         total = np.concatenate([[0], np.cumsum(known)])
-        if not (total[least:] - total[:-least] >= need).any():
+        possible = total[least:] - total[:-least] >= need
+        if not possible.any():
             return []
-        # which rows hold which tokens of x, and at which starts enough of them
         at = np.flatnonzero(known)
         n = self.at[k[at] + 1] - self.at[k[at]]
         rows = self.row[np.repeat(self.at[k[at]] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))]
-        found = np.flatnonzero(np.bincount(rows, minlength=len(self.docs)) >= need)
-        found = found[self.doc_of[found] != doc]
+        counts = np.bincount(rows, minlength=len(self.docs))
+        counts[self.doc_of == doc] = 0
+        me, out = self.add(doc), []
+
+        def verify(other: int, starts: np.ndarray) -> None:
+            """Compares with a row; what is covered then is taken out of the (rows of) starts."""
+            for p in shared_passages(self.seqs[other], x, least, threshold):
+                out.append((self.docs[other], self.lows[other] + p[0], self.lows[other] + p[1], doc, lo + p[2], lo + p[3]))
+                starts[..., max(0, p[2] - least + need) : max(0, p[3] + 2 - need)] = False
+                a, b = self.label[me], self.label[self.node[other]]
+                self.label[self.label == max(a, b)] = min(a, b)
+
+        # mostly the row that shares most tokens covers all that can be, and the others are linked to it
+        first = int(np.argmax(counts))
+        if counts[first] < need:
+            return []
+        verify(first, possible)
+        counts[first] = 0
+        found = np.flatnonzero((counts >= need) & (possible.any() | (self.label[self.node] != self.label[me])))
+        if not len(found):
+            return out
+        # which rows hold which tokens of x, and at which starts enough of them
         number = np.full(len(self.docs), -1)
         number[found] = np.arange(len(found))
+        number = number[rows]
         holds = np.zeros((len(found), len(x) + 1), dtype=np.int32)
-        mine = number[rows] >= 0
-        holds[number[rows][mine], np.repeat(at, n)[mine] + 1] = 1
+        holds[number[number >= 0], np.repeat(at, n)[number >= 0] + 1] = 1
         np.cumsum(holds, axis=1, out=holds)
         starts = holds[:, least:] - holds[:, :-least] >= need
         order = np.argsort(-starts.sum(axis=1), kind="stable")
-        found, starts, out = found[order], starts[order], []
-        left, me, node = starts.any(axis=1), self.add(doc), self.node[found]
+        found, starts = found[order], starts[order]
+        left, node = starts.any(axis=1), self.node[found]
+        starts &= possible
         while len(again := np.flatnonzero(left & (starts.any(axis=1) | (self.label[node] != self.label[me])))):
             left[again[0]] = False
-            other = int(found[again[0]])
-            for p in shared_passages(self.seqs[other], x, least, threshold):
-                out.append((self.docs[other], self.lows[other] + p[0], self.lows[other] + p[1], doc, lo + p[2], lo + p[3]))
-                starts[:, max(0, p[2] - least + need) : max(0, p[3] + 2 - need)] = False
-                a, b = self.label[me], self.label[self.node[other]]
-                self.label[self.label == max(a, b)] = min(a, b)
+            verify(int(found[again[0]]), starts)
         return out
 
 
@@ -408,7 +426,7 @@ def merged_stretches(rows: DataFrame, by: list[str]) -> DataFrame:
     return lists.select(*by, F.explode(merged).alias("m")).select(*by, "m.lo", "m.hi")
 
 
-def block_passages(docs: DataFrame, pending: DataFrame, places: DataFrame, least: int, threshold: float) -> DataFrame:
+def block_passages(seqs: DataFrame, pending: DataFrame, places: DataFrame, least: int, threshold: float) -> DataFrame:
     """Verified passages between the open stretches ``pending`` (leader, doc_id, lo, hi) and all
     ``places`` (leader, doc_id, lo, hi) of their leader's groups: a query set against all rows, in
     blocks of bounded bytes; every pair of blocks is one small task."""
@@ -419,8 +437,6 @@ def block_passages(docs: DataFrame, pending: DataFrame, places: DataFrame, least
     size = F.sum(F.col("hi") - F.col("lo") + 1) * 4
     blocks = lambda df, n: df.groupBy("leader").agg(F.ceil(size / F.lit(BLOCK_BYTES)).cast("int").alias(n))
     info = materialize(blocks(open_, "nq").join(blocks(pool, "np"), "leader"), "blocks")
-    ids = materialize(pool.join(info.select("leader"), "leader", "left_semi").select("doc_id").distinct(), "ids")
-    seqs = materialize(_token_seqs(only_ids(docs, ids)).dropDuplicates(["doc_id"]), "seqs")
     own = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
     all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     cut = F.expr("substring(seq, cast(lo * 4 + 1 as int), cast((hi - lo + 1) * 4 as int))").alias("seq")
@@ -463,14 +479,16 @@ def passage_links(docs: DataFrame, members: DataFrame, least: int = LEAST, thres
     lead = materialize(lead.select("key", F.col("s.doc_id").alias("a"), F.col("s.lo").alias("a_lo"), F.col("s.hi").alias("a_hi")), "leaders")
     met = materialize(members.join(lead, "key").select("a", "a_lo", "a_hi", F.col("doc_id").alias("b"), F.col("lo").alias("b_lo"), F.col("hi").alias("b_hi")), "met")
     found = segments(met.where("a <> b"))
-    checked = verified_passages(found, docs, least, threshold)
+    ids = materialize(found.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+    seqs = materialize(token_seqs(only_ids(docs, ids)).dropDuplicates(["doc_id"]), "seqs")
+    checked = verified_passages(found, seqs, least, threshold)
     links = checked.where("linked").drop("linked")
     further = materialize(met.where("a = b AND (a_lo <> b_lo OR a_hi <> b_hi)").select(F.col("a").alias("leader"), F.col("b").alias("doc_id"), F.col("b_lo").alias("lo"), F.col("b_hi").alias("hi")).distinct(), "further")
     side = lambda df, x: df.select(F.col("a").alias("leader"), F.col(x).alias("doc_id"), F.col(f"{x}_lo").alias("lo"), F.col(f"{x}_hi").alias("hi"))
     pending = materialize(side(checked.where("NOT linked"), "b").unionByName(further), "pending")
     places = side(found, "b").unionByName(side(found, "a")).unionByName(further)
     places = places.join(materialize(pending.select("leader").distinct(), "leaders"), "leader", "left_semi")
-    more = block_passages(docs, pending, places, least, threshold)
+    more = block_passages(seqs, pending, places, least, threshold)
     return links.unionByName(more)
 
 

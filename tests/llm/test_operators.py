@@ -449,10 +449,10 @@ def test_block_comparison_loses_no_passage(spark, monkeypatch):
         rows[i] = w
     d = spark.createDataFrame([(i, " ".join(w)) for i, w in rows.items()], DOC)
     places = spark.createDataFrame([(0, i, 0, 130) for i in rows], "leader long, doc_id long, lo int, hi int")
-    found = substring_dedup.block_passages(d, places.where("doc_id = 17"), places, substring_dedup.LEAST, 0.8).collect()
+    found = substring_dedup.block_passages(substring_dedup.token_seqs(d), places.where("doc_id = 17"), places, substring_dedup.LEAST, 0.8).collect()
     assert found and {(x["a"], x["b"]) for x in found} <= {(4, 17), (23, 17)}  # closed texts are linked already
     # open ones are all linked; texts in one component stand for each other
-    found = substring_dedup.block_passages(d, places.where("doc_id IN (4, 17, 23)"), places, substring_dedup.LEAST, 0.8).collect()
+    found = substring_dedup.block_passages(substring_dedup.token_seqs(d), places.where("doc_id IN (4, 17, 23)"), places, substring_dedup.LEAST, 0.8).collect()
     assert len({x["b"] for x in found}) == 3 and len({min(x["a"], x["b"]) for x in found} | {max(x["a"], x["b"]) for x in found}) == 3 and len(found) <= 6
 
 
