@@ -31,6 +31,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 from math import ceil
 
 import numpy as np
@@ -82,13 +83,13 @@ def bigram_counts(docs: DataFrame, number: dict[bytes, int], rare: int, bound: i
     shared = docs.sparkSession.sparkContext.broadcast(number)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = shared.value.get
+        get = {**shared.value, END: bound}.get
         seen: Counter = Counter()
         for b in chunks(batches):
-            codes = [bound]
+            words = [END]
             for t in b.column(1).to_pylist():  # the end of one text is the start of the next
-                codes += [bound if w == END else get(w, rare) for w in tokens(t)]
-            x = np.array(codes, dtype=np.int64)
+                words += tokens(t)
+            x = np.fromiter(map(get, words, repeat(rare)), dtype=np.int64, count=len(words))
             pair, n = np.unique(x[:-1] * (bound + 1) + x[1:], return_counts=True)
             seen.update(dict(zip(pair.tolist(), n.tolist())))
         yield _counted(seen, "pair", pa.int64())
@@ -170,21 +171,27 @@ def class_contexts(docs: DataFrame, number: dict[bytes, int], code: np.ndarray)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seeds, cls = shared.value
         rare, bound, width = len(seeds), len(seeds) + 1, int(cls.max()) + 1
-        seen: Counter = Counter()
+        get = {**seeds, END: bound}.get
+        seen: Counter = Counter()  # by the token's number in ``own`` * width^2 + f
+        own: dict[bytes, int] = {}
 
         def flush() -> pa.RecordBatch:
-            got = pa.RecordBatch.from_arrays([pa.array([t for t, _ in seen], pa.binary()), pa.array([f for _, f in seen], pa.int64()), pa.array(list(seen.values()), pa.int64())], ["token", "f", "n"])
+            key = np.fromiter(seen, dtype=np.int64, count=len(seen))
+            token = pa.array(list(own), pa.binary()).take(pa.array(key // width**2))
+            got = pa.RecordBatch.from_arrays([token, pa.array(key % width**2), pa.array(list(seen.values()), pa.int64())], ["token", "f", "n"])
             seen.clear()
+            own.clear()
             return got
 
         for b in chunks(batches):
             words = [END]
             for t in b.column(1).to_pylist():
                 words += tokens(t)
-            x = np.array([bound if w == END else seeds.get(w, rare) for w in words], dtype=np.int64)
+            x = np.fromiter(map(get, words, repeat(rare)), dtype=np.int64, count=len(words))
             at = np.flatnonzero(x == rare)
             f = cls[x[at - 1]] * width + cls[x[at + 1]]  # a text's end stands on either side
-            seen.update(zip([words[i] for i in at.tolist()], f.tolist()))
+            number = np.fromiter((own.setdefault(words[i], len(own)) for i in at.tolist()), dtype=np.int64, count=len(at))
+            seen.update((number * width**2 + f).tolist())
             if len(seen) > 300_000:
                 yield flush()
         yield flush()
@@ -222,7 +229,7 @@ def smoothed(n: np.ndarray) -> np.ndarray:
     return np.log10((n + 5 * share) / (n.sum(axis=1, keepdims=True) + 5))
 
 
-def fit_classes(docs: DataFrame, class_words: int | None = None, n_classes: int | None = None, head: int = 50_000, least_count: int = 3) -> tuple[ClassModel, DataFrame]:
+def fit_classes(docs: DataFrame, class_words: int | None = None, n_classes: int | None = None, head: int = 150_000, least_count: int = 3) -> tuple[ClassModel, DataFrame]:
     """(model without transitions, table of token, n, cls) from training rows (doc_id, text)."""
     counts = materialize(token_counts(docs), "tokens")
     n_all, v_all, v_often = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("token"), F.count(F.when(F.col("n") >= least_count, 1))).first()
@@ -271,7 +278,7 @@ def class_sequences(docs: DataFrame, model: ClassModel, classed: DataFrame) -> D
             out: dict[str, list] = {k: [] for k in ("row", "n_tokens", "n_known", "base", "logs", "seq", "tail")}
             for t in b.column(1).to_pylist():
                 toks = tokens(t)
-                at = np.array([get(w, -1) for w in toks], dtype=np.int64)  # -1: the last entry of each table
+                at = np.fromiter(map(get, toks, repeat(-1)), dtype=np.int64, count=len(toks))  # -1: the last entry of each table
                 seq = m.classes[at]
                 if at[-1] < 0:  # the end isn't trained on or no part of the head
                     seq[-1] = bound
@@ -334,7 +341,7 @@ def class_pairs(sequences: DataFrame, width: int) -> np.ndarray:
     return n.reshape(width, width)
 
 
-def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", class_words: int | None = None, n_classes: int | None = None, head: int = 50_000, least_count: int = 3) -> DataFrame:
+def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", class_words: int | None = None, n_classes: int | None = None, head: int = 150_000, least_count: int = 3) -> DataFrame:
     """Fits on the rows that aren't held out and scores all: doc_id, held_out and the scores."""
     plain = with_text(docs, id_col, text_col)
     model, classed = fit_classes(plain.where(~held_out()), class_words, n_classes, head, least_count)
