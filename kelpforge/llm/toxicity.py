@@ -6,7 +6,7 @@ A linear model over the words and word beginnings that a text holds (presence, n
    row, as a distributed aggregate; those of a two-proportion statistic of ``min_z`` or more,
    the ``max_features`` largest, become the model's features, and identity terms always are.
 2. A logistic regression is fitted on at most ``max_rows`` labelled rows (those of the least
-   hash of their id; each travels as a short list of feature numbers). In labelled texts that
+   hash of their id, one row an id; each travels as a short list of feature numbers). In labelled texts that
    mention an identity term, the term is swapped for the others of its group, and squared
    differences of the logit between a text and its swapped copies are penalised. What a
    mention alone adds to the score is so held equal within a group, and a ridge term holds
@@ -179,11 +179,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
                 gone.append(a)
                 come.append(c)
             lists = pa.list_(pa.int32())
-            yield pa.RecordBatch.from_arrays([b.column(2), pa.array(x, lists), pa.array(gone, pa.list_(lists)), pa.array(come, pa.list_(lists))], ["toxic", "x", "gone", "come"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(x, lists), pa.array(gone, pa.list_(lists)), pa.array(come, pa.list_(lists))], ["doc_id", "toxic", "x", "gone", "come"])
 
-    ids = labelled.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows) if pos + neg > max_rows else None
+    ids = labelled.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows) if pos + neg > max_rows else None
     sample = labelled.join(F.broadcast(ids), "doc_id", "left_semi") if ids is not None else labelled
-    got = map_arrow(sample.select("doc_id", "text", "toxic"), numbers, "toxic int, x array<int>, gone array<array<int>>, come array<array<int>>").collect()
+    rows = map_arrow(sample.select("doc_id", "text", "toxic"), numbers, "doc_id long, toxic int, x array<int>, gone array<array<int>>, come array<array<int>>")
+    # one row an id, so that no more than ``max_rows`` rows reach the driver
+    got = [r["r"] for r in rows.groupBy("doc_id").agg(F.min(F.struct("toxic", "x", "gone", "come")).alias("r")).collect()]
     got.sort(key=lambda r: (r["toxic"], r["x"]))
     w, b = _fit([(r["toxic"], r["x"]) for r in got], [s for r in got for s in zip(r["gone"], r["come"])], len(names), ridge / len(got), swap_weight)
     return ToxicityModel({f: float(w[i]) for f, i in number.items() if w[i]}, float(b))
