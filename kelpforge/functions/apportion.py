@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Hashable, Mapping, Sequence
 from fractions import Fraction
+from math import floor
 
 
 def largest_remainder(total: int, ratios: Mapping[Hashable, float], order: Sequence[Hashable]) -> dict[Hashable, int]:
@@ -23,15 +24,27 @@ def contingency(rows: Mapping[Hashable, int], cols: Mapping[Hashable, int], allo
     """An integer table with exact margins near the ideals ``allowed[(row, col)]``.
 
     Units go one at a time to the open cell (its row and column not full) with the greatest
-    unmet ideal; ties go to the lexicographically greatest cell. Whole parts of the ideals
-    are placed at once where margins permit: the single steps would reach them too.
+    unmet ideal; ties go to the lexicographically greatest cell. Units that leave an unmet ideal
+    of 0 or more come before all others, so where the whole parts of the ideals fit the margins
+    they are placed at once, and the steps that remain are at most one a cell.
     """
-    row_left, col_left = dict(rows), dict(cols)
-    out = dict.fromkeys(allowed, 0)
     total = sum(rows.values())
     if total != sum(cols.values()):
         raise ValueError("the margins differ in sum")
-    for _ in range(total):
+
+    def left(placed: Mapping[tuple, int]) -> tuple[dict, dict]:
+        row, col = dict(rows), dict(cols)
+        for (r, c), n in placed.items():
+            row[r] -= n
+            col[c] -= n
+        return row, col
+
+    out = {c: max(0, floor(x)) for c, x in allowed.items()}
+    row_left, col_left = left(out)
+    if min([*row_left.values(), *col_left.values()], default=0) < 0:
+        out = dict.fromkeys(allowed, 0)
+        row_left, col_left = left(out)
+    for _ in range(sum(row_left.values())):
         open_ = [c for c in allowed if row_left[c[0]] > 0 and col_left[c[1]] > 0]
         if not open_:
             raise ValueError("no cell is open; the margins can't be met")
