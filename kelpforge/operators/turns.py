@@ -39,6 +39,50 @@ def action_state(target: Column, failures: Column, runs: Column) -> Column:
     )
 
 
+#: The state of a sample by its number of turns (target included) and its tool.
+STATES_BY_LENGTH = {
+    (2, "submit"): "problem_submit",
+    (4, "run_candidate"): "first_failure_run",
+    (4, "submit"): "first_failure_direct_repair",
+    (6, "submit"): "post_run_repair",
+    (8, "run_candidate"): "second_failure_run",
+    (10, "submit"): "multiround_final_submit",
+}
+
+
+def state_by_length(n_turns: Column, target: Column) -> Column:
+    """The state of a supervised action by the number of its turns and its tool alone."""
+    out = F.lit("other")
+    for (n, tool), state in STATES_BY_LENGTH.items():
+        out = F.when((n_turns == n) & (target == tool), state).otherwise(out)
+    return out
+
+
+def answered_call(observation: Column, call: Column, value: Column, conv: str = "conv_id", turn: str = "turn") -> Column:
+    """For a turn that is an observation, ``value`` of the call right before it, which it answers;
+    null for other turns and for an observation that follows no call."""
+    w = _over(conv, turn)
+    return F.when(observation & F.lag(call).over(w), F.lag(value).over(w))
+
+
+def last_observation(conversations: Column) -> Column:
+    """The text of the turn before the target (the last one) if that is an observation, else null."""
+    before = F.try_element_at(conversations, F.lit(-2))
+    return F.when(before["from"] == "observation", before["value"])
+
+
+def native_history(messages: Column) -> Column:
+    """Whether the first submit of an assistant is masked and its own tool's answer comes next.
+
+    ``messages`` are structs of role, name (of the call or of the answering tool) and trainable;
+    a submit in the last place counts for nothing."""
+    numbered = F.transform(messages, lambda m, i: F.struct(m.alias("m"), F.try_element_at(messages, (i + 2).cast("int")).alias("next")))
+    submits = F.filter(numbered, lambda x: (x["m"]["role"] == "assistant") & (x["m"]["name"] == "submit") & x["next"].isNotNull())
+    first = F.try_element_at(submits, F.lit(1))
+    masked = ~F.coalesce(first["m"]["trainable"], F.lit(False))
+    return F.coalesce(masked & (first["next"]["role"] == "tool") & (first["next"]["name"] == "submit"), F.lit(False))
+
+
 def transitions(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", kind: str = "role") -> DataFrame:
     """(kind, next kind, n): what follows what; the end is a null next kind."""
     nxt = turns.select(F.col(kind).alias("kind"), F.lead(kind).over(_over(conv, turn)).alias("next_kind"))
