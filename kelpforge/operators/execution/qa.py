@@ -13,16 +13,19 @@ from kelpforge.session import materialize
 
 #: The keys of metadata, and the values that its fields may have.
 REQUIRED = (
-    "schema_version episode_id id dataset dataset_split pool difficulty io_mode question_hash starter_code_hash reference candidate mutation seed_submit counterfactual "
-    "execution_query behavior_sequence decision_steps solution_origin final_code_hash final_pass_rate final_replay_passed tool_sequence tool_call_count model runtime quality created_at"
-).split()
+    "schema_version", "episode_id", "id", "dataset", "dataset_split", "pool",
+    "difficulty", "io_mode", "question_hash", "starter_code_hash", "reference", "candidate",
+    "mutation", "seed_submit", "counterfactual", "execution_query", "behavior_sequence", "decision_steps",
+    "solution_origin", "final_code_hash", "final_pass_rate", "final_replay_passed", "tool_sequence", "tool_call_count",
+    "model", "runtime", "quality", "created_at",
+)
 OPTIONAL = ("mutation_set_hash", "label_method")
 ORIGINS = ("synthetic_single", "synthetic_multi", "model_natural_failure", "verified_reference", "model_natural_correct")
 BEHAVIORS = ("post_submit_direct_repair", "post_submit_failure_replay", "pre_submit_active_validation", "direct_submission")
 DIFFICULTIES = ("introductory", "interview", "competition")
-REFERENCE_KEYS = "code_hash replay_count solution_index verification_pass_rate verified".split()
-QUALITY_KEYS = "duplicate_of leakage_scan_passed loss_mask_valid reject_reasons replay_valid schema_valid".split()
-OBSERVATION_KEYS = "error exit_code status stderr stdout truncated".split()
+REFERENCE_KEYS = ("code_hash", "replay_count", "solution_index", "verification_pass_rate", "verified")
+QUALITY_KEYS = ("duplicate_of", "leakage_scan_passed", "loss_mask_valid", "reject_reasons", "replay_valid", "schema_valid")
+OBSERVATION_KEYS = ("error", "exit_code", "status", "stderr", "stdout", "truncated")
 _HASH = "^sha256:.{64}$"
 
 

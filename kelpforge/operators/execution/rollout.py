@@ -4,22 +4,24 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kelpforge.functions.actions import ActionError, executable_action
-from kelpforge.functions.pynorm import code_hash, inputs_equal, output_matches
+from kelpforge.functions.actions import read_call
+from kelpforge.functions.pynorm import canonical_json, input_forms, inputs_equal, output_matches
 from kelpforge.operators.execution.sandbox import Limits, run_candidate
 from kelpforge.operators.report import classify_post_submit
 
 #: A text generator: (messages, seed) -> text.
 Generate = Callable[[list[dict], int], str]
+#: Fixed value: what the seeds of two steps of a rollout differ by.
+SEED_STRIDE = 1_000_003
 #: Small arguments and inputs that are tried in this order as probes.
 PROBES = {
-    "call": tuple(json.dumps(x) for x in ([], [0], [1], [2], [0, 0], [1, 2], [2, 1], [1, 2, 3], [3, 2, 1], [5], [[1, 2, 3], 1], [[2, 1], 1], [1, [2]])),
+    "call": tuple(canonical_json(x) for x in ([], [0], [1], [2], [0, 0], [1, 2], [2, 1], [1, 2, 3], [3, 2, 1], [5], [[1, 2, 3], 1], [[2, 1], 1], [1, [2]])),
     "stdin": (*(f"{n}\n" for n in range(9)), *(f"{a} {b}\n" for a in range(4) for b in range(4)), *(f"{n}\n" + " ".join(map(str, range(n))) + "\n" for n in range(1, 5))),
 }
 
@@ -45,7 +47,7 @@ def probe_inputs(programs: DataFrame, limits: Limits = Limits()) -> DataFrame:
         for pdf in batches:
             rows = []
             for r in pdf.itertuples(index=False):
-                hidden, found = set(r.hidden), None
+                hidden, found = set().union(*(input_forms(h, r.mode) for h in r.hidden)), None
                 for given in PROBES[r.mode]:
                     if given in hidden:
                         continue
@@ -62,53 +64,72 @@ def probe_inputs(programs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     return programs.select("program_id", "code", "reference", "hidden", "mode", "fn_name").mapInPandas(work, "program_id string, probe string")
 
 
-def _observe(code: str | None, given: str, mode: str, fn_name: str | None, limits: Limits) -> dict:
-    """What a run of the current candidate shows; without one, an error and no run."""
-    if code is None:
-        return {"status": "invalid_input", "stdout": "", "error": "NoCandidate"}
+def _observe(code: str, given: str, mode: str, fn_name: str | None, limits: Limits) -> dict:
+    """What a run of the current candidate shows."""
     got, value = run_candidate(code, given, mode, fn_name, limits)
     shown = got.stdout if mode != "call" or value is None else json.dumps(value)
     return {"status": got.status, "stdout": shown, "error": got.exception}
 
 
-def rollout(problem: dict, start: list[dict], generate: Generate, seed: int, budget: tuple[int, int, int] = (6, 3, 3), limits: Limits = Limits()) -> dict:
+def accepted(feedback: dict | None) -> bool:
+    """Every case passed, and there was one."""
+    return bool(feedback) and feedback["status"] == "accepted" and feedback["passed"] == feedback["total"] > 0
+
+
+def rollout(problem: dict, start: list[dict], generate: Generate, seed: int, budget: tuple[int, int, int] = (6, 3, 3), limits: Limits = Limits(), allow_run: bool = True, feedback: dict | None = None, branch: bool = False) -> dict:
     """One conversation until acceptance or the end of a budget (actions, submits, runs).
 
     A run executes the current candidate: the latest submit, or the one that the problem starts
-    with."""
-    messages, submits, runs, last = list(start), 0, 0, None
-    candidate = problem.get("candidate")
-    done: dict[str, dict] = {}
-    turns: list[dict] = []
+    with; before there is one, a run is an unavailable tool. A call beyond a budget ends the
+    conversation and isn't counted. A text that was submitted before isn't graded again.
+
+    As a ``branch`` of a paired comparison, a run must be allowed and use the input that failed
+    last (``feedback`` is what the start shows), and an accepted submit is graded twice.
+    """
+    messages, spent = list(start), {"submit": 0, "run_candidate": 0}
+    most = {"submit": budget[1], "run_candidate": budget[2]}
+    full = {"submit": "submit_budget", "run_candidate": "run_budget"}
+    candidate, last, turns = problem.get("candidate"), feedback, []
+    graded: dict[str, dict] = {}
+    ask = lambda code: grade_program(code, problem["cases"], problem["mode"], problem["fn_name"], limits)
+
+    def end(status: str) -> dict:
+        return {"status": status, "submits": spent["submit"], "runs": spent["run_candidate"], "turns": turns, "feedback": last}
+
     for n in range(budget[0]):
-        raw = generate(messages, seed + n)
+        raw = generate(messages, seed + n * SEED_STRIDE)
         turn: dict = {"raw": raw}
         turns.append(turn)
-        try:
-            action, turn["format"] = executable_action(raw)
-        except ActionError as e:
-            turn["parse_error"] = str(e)
-            return {"status": "invalid_action", "submits": submits, "runs": runs, "turns": turns, "feedback": last}
-        turn["tool"], args = action["name"], action["arguments"]
-        if action["name"] == "submit":
-            submits += 1
-            candidate = args["code"]
-            key = code_hash(candidate)
-            turn["duplicate"] = key in done
-            last = done.get(key) or grade_program(candidate, problem["cases"], problem["mode"], problem["fn_name"], limits)
-            done[key] = turn["observation"] = last
-            if last["status"] == "accepted":
-                return {"status": "solved", "submits": submits, "runs": runs, "turns": turns, "feedback": last}
-            if submits >= budget[1]:
-                return {"status": "submit_budget", "submits": submits, "runs": runs, "turns": turns, "feedback": last}
+        call, form, reason = read_call(raw, lenient=not branch)
+        if call is None:
+            turn["parse_error"] = reason
+            return end("invalid_action")
+        tool = call["name"]
+        if tool == "run_candidate" and candidate is None:
+            turn["parse_error"] = "unavailable_tool"
+            return end("invalid_action")
+        turn |= {"format": form, "tool": tool}
+        if tool == "run_candidate" and not allow_run:
+            return end("run_not_allowed")
+        if spent[tool] >= most[tool]:
+            return end(full[tool])
+        given = call["arguments"]["code" if tool == "submit" else "input"]
+        if tool == "run_candidate":
+            turn["on_failing_input"] = bool(last) and inputs_equal(given, last["failing_input"], problem["mode"])
+            if branch and last and not turn["on_failing_input"]:
+                return end("run_input_not_latest_failing_case")
+            turn["observation"] = _observe(candidate, given, problem["mode"], problem["fn_name"], limits)
         else:
-            runs += 1
-            if runs > budget[2]:
-                return {"status": "run_budget", "submits": submits, "runs": runs, "turns": turns, "feedback": last}
-            turn["observation"] = _observe(candidate, args["input"], problem["mode"], problem["fn_name"], limits)
-            turn["on_failing_input"] = bool(last) and inputs_equal(args["input"], last["failing_input"], problem["mode"])
+            candidate = given
+            turn["duplicate"] = given in graded
+            if given not in graded:
+                graded[given] = ask(given)
+            last = turn["observation"] = graded[given]
+        spent[tool] += 1
+        if tool == "submit" and accepted(last):
+            return end("accepted" if not branch or accepted(ask(given)) else "accepted_replay_failed")
         messages = [*messages, {"role": "assistant", "content": raw}, {"role": "tool", "content": json.dumps(turn["observation"])}]
-    return {"status": "action_budget", "submits": submits, "runs": runs, "turns": turns, "feedback": last}
+    return end("action_budget")
 
 
 _RESULT = "id string, difficulty string, solved boolean, status string, actions int, submissions int, runs int, first_submit_success boolean, repair_eligible boolean, valid_actions int, executable_actions int, duplicate_submissions int, wall_seconds double, turn_history string"
@@ -126,7 +147,7 @@ def evaluate_agents(problems: DataFrame, generate: Generate, seed: int = 0, budg
                 got = rollout(r, [{"role": "user", "content": r["question"]}], generate, seed, budget, limits)
                 t = got["turns"]
                 first = next((x["observation"]["status"] == "accepted" for x in t if x.get("tool") == "submit"), None)
-                rows.append((r["id"], r["difficulty"], got["status"] == "solved", got["status"], len(t), got["submits"], got["runs"], first, first is False, sum(x.get("format") == "strict" for x in t), sum("format" in x for x in t), sum(bool(x.get("duplicate")) for x in t), time.monotonic() - began, json.dumps(t)))
+                rows.append((r["id"], r["difficulty"], got["status"] == "accepted", got["status"], len(t), got["submits"], got["runs"], first, first is False, sum(x.get("format") == "strict" for x in t), sum("format" in x for x in t), sum(bool(x.get("duplicate")) for x in t), time.monotonic() - began, json.dumps(t)))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in _RESULT.split(", ")])
 
     return problems.mapInPandas(work, _RESULT)
@@ -147,6 +168,44 @@ def summarize_agents(results: DataFrame) -> DataFrame:
     return g.withColumn("difficulty", F.coalesce("difficulty", F.lit("all")))
 
 
+def paired_rollouts(problems: DataFrame, generate: Generate, seeds: Sequence[int], budget: tuple[int, int, int] = (6, 3, 3), limits: Limits = Limits()) -> DataFrame:
+    """(id, seed, branch, solved, status): what follows a failed submit, without and with a run.
+
+    ``problems``: id, question, cases, mode, fn_name and the candidate that fails. Both branches
+    of a seed start behind the graded candidate; the one with a run also shows the candidate's run
+    on the input that failed, which costs an action and a run. Where there is no such input, or
+    its output is too long, the branch counts as unsolved (``no_run``). Every (id, seed, branch)
+    is a row of its own, so the rollouts of one problem run on many executors.
+    """
+    columns = ["id", "question", "cases", "mode", "fn_name", "candidate"]
+    tries = problems.select(*columns, F.explode(F.array(*map(F.lit, seeds))).alias("seed")).withColumn("branch", F.explode(F.array(F.lit("without"), F.lit("with"))))
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for r in pdf.to_dict("records"):
+                r["cases"] = [dict(c) for c in r["cases"]]
+                seen = grade_program(r["candidate"], r["cases"], r["mode"], r["fn_name"], limits)
+                start = [{"role": "user", "content": r["question"]}, _said("submit", code=r["candidate"]), {"role": "tool", "content": json.dumps(seen)}]
+                left = budget
+                if r["branch"] == "with":
+                    shown = seen["failing_input"] is not None and _observe(r["candidate"], seen["failing_input"], r["mode"], r["fn_name"], limits)
+                    if not shown or shown["status"] == "output_limit":
+                        rows.append((r["id"], r["seed"], r["branch"], False, "no_run"))
+                        continue
+                    start += [_said("run_candidate", input=seen["failing_input"]), {"role": "tool", "content": json.dumps(shown)}]
+                    left = (max(0, budget[0] - 1), budget[1], max(0, budget[2] - 1))
+                got = rollout(r, start, generate, r["seed"], left, limits, allow_run=r["branch"] == "with", feedback=seen, branch=True)
+                rows.append((r["id"], r["seed"], r["branch"], got["status"] == "accepted", got["status"]))
+            yield pd.DataFrame(rows, columns=["id", "seed", "branch", "solved", "status"])
+
+    return tries.repartition("id", "seed", "branch").mapInPandas(work, "id string, seed int, branch string, solved boolean, status string")
+
+
+def _said(tool: str, **arguments: str) -> dict:
+    return {"role": "assistant", "content": json.dumps({"name": tool, "arguments": arguments})}
+
+
 def paired_behavior(branches: DataFrame, k: int = 3) -> DataFrame:
     """Success rates with and without a run over equal seeds, and the behaviour they support.
 
@@ -191,7 +250,7 @@ def replay_issues(episodes: DataFrame, limits: Limits = Limits()) -> DataFrame:
                         if one != seen:
                             rows.append((r.episode_id, "replay_feedback_mismatch", n))
                         last = one
-                    elif _observe(current, args["input"], r.mode, r.fn_name, limits) != seen:
+                    elif current is None or _observe(current, args["input"], r.mode, r.fn_name, limits) != seen:
                         rows.append((r.episode_id, "replay_observation_mismatch", n))
                 if last is None or last["status"] != "accepted":
                     rows.append((r.episode_id, "replay_not_accepted", -1))
