@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,37 +33,29 @@ def layered_dedup(df: DataFrame, order: str, episode: str, problem: str, code: s
     ``per_signature`` times in the problem; else if that signature was kept with the same
     ``variant``. Keys are claimed by kept rows only, so a row that one layer rejects blocks no
     later row in another. The layers depend on each other and on the order, so each problem is
-    folded sequentially; only keys travel, and the rows are joined back by ``order`` (unique).
+    folded sequentially: only keys travel, Spark sorts them (and spills), and a task holds the
+    keys that one problem has kept, never its rows. The rows are joined back by ``order`` (unique).
     """
-    keys = [order, episode, problem, code, mutation, signature, *variant]
-    slim = df.select(*dict.fromkeys(keys))
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids, codes, mutations, variants = set(), set(), set(), set()
-        signatures: dict = {}
-        out = []
-        for r in pdf.sort_values(order, kind="stable").to_dict("records"):
-            sig = r[signature]
-            var = (sig, *(r[v] for v in variant))
-            if r[episode] in ids:
-                why = "duplicate_episode"
-            elif r[code] in codes:
-                why = "duplicate_code"
-            elif r[mutation] is not None and r[mutation] in mutations:
-                why = "duplicate_mutation_set"
-            elif sig is not None and signatures.get(sig, 0) >= per_signature:
-                why = "signature_limit"
-            elif sig is not None and var in variants:
-                why = "duplicate_variant"
-            else:
-                why = None
-                ids.add(r[episode])
-                codes.add(r[code])
-                mutations.add(r[mutation])
-                variants.add(var)
-                signatures[sig] = signatures.get(sig, 0) + 1
-            out.append((r[order], why))
-        return pd.DataFrame(out, columns=[order, "dedup_reason"])
+    slim = df.select(F.col(problem).alias("_p"), F.col(order).alias("_o"), F.col(episode).alias("_e"), F.col(code).alias("_c"), F.col(mutation).alias("_m"), F.col(signature).alias("_s"), F.to_json(F.struct(*variant), {"ignoreNullFields": "false"}).alias("_v"))
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now: object = fold  # no problem yet
+        for b in batches:
+            reasons = []
+            for p, _, e, c, m, s, v in zip(*(col.to_pylist() for col in b.columns)):
+                if p != now:
+                    now, kept = p, Counter()
+                claims = {"duplicate_episode": (("e", e), 1), "duplicate_code": (("c", c), 1)}
+                if m is not None:
+                    claims["duplicate_mutation_set"] = ("m", m), 1
+                if s is not None:
+                    claims |= {"signature_limit": (("s", s), per_signature), "duplicate_variant": (("v", s, v), 1)}
+                why = next((reason for reason, (key, most) in claims.items() if kept[key] >= most), None)
+                if why is None:
+                    kept.update(key for key, _ in claims.values())
+                reasons.append(why)
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(reasons, pa.string())], [order, "dedup_reason"])
 
     kind = df.schema[order].dataType.simpleString()
-    return df.join(slim.groupBy(problem).applyInPandas(fold, f"{order} {kind}, dedup_reason string"), order)
+    judged = slim.repartition("_p").sortWithinPartitions("_p", "_o").mapInArrow(fold, f"`{order}` {kind}, dedup_reason string")
+    return df.join(judged, order)

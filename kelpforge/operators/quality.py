@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kelpforge.functions.text import ordered_reason, strip
 
-#: Items of a containment search that one broadcast may hold.
-CONTAINS_BROADCAST = 100_000
+#: Characters of items that one automaton of a containment search holds (a node each at most).
+CONTAINS_CHARS = 1 << 20
 #: The JSON keys of private fields, as they look in a text that leaks them.
 INTERNAL_MARKERS = ('"expected":', '"actual":', '"test_index":', '"reference_solution":', '"source_span":', '"mutation_operator":')
 #: What a feedback holds, and its statuses.
@@ -16,24 +20,50 @@ FEEDBACK_KEYS = ("failing_input", "pass_rate", "passed", "status", "total")
 STATUSES = ("accepted", "wrong_answer", "runtime_error", "timeout")
 
 
-def contains_pairs(docs: DataFrame, items: DataFrame, doc_id: str, item_id: str, text: str = "text", width: int = 8) -> DataFrame:
+def contains_pairs(docs: DataFrame, items: DataFrame, doc_id: str, item_id: str, text: str = "text") -> DataFrame:
     """(doc_id, item_id) where a document's text contains an item's text.
 
-    Items are a sealed set; up to ``CONTAINS_BROADCAST`` they are held as one array beside
-    each row, so no pair is made unless it matches. In a larger set the first ``width``
-    characters are the key, which joins what documents hold at every place. Empty items are in
-    no document.
+    Items are dealt by their hash into blocks of about ``CONTAINS_CHARS`` characters; each block
+    is an Aho-Corasick automaton that reads every text once, so the work doesn't depend on the
+    number of items in a block, no pair is made unless it matches, and no key can be hot. A
+    set of items larger than a block takes one more pass a block. Items of equal text all match.
+    Null texts hold nothing, and empty items are in no document.
     """
-    few = items.where(F.length(text) > 0).select(item_id, F.col(text).alias("_item"))
-    if few.limit(CONTAINS_BROADCAST + 1).count() <= CONTAINS_BROADCAST:
-        packed = few.agg(F.collect_list(F.struct(item_id, "_item")).alias("_items"))
-        found = docs.join(F.broadcast(packed), how="left").select(doc_id, F.explode(F.filter("_items", lambda x: F.contains(F.col(text), x["_item"]))).alias("_x"))
-        return found.select(doc_id, F.col(f"_x.{item_id}").alias(item_id))
-    keyed = few.withColumn("_k", F.substring("_item", 1, width)).where(F.length("_item") >= width)
-    short = few.where(F.length("_item") < width).select(item_id, F.col("_item").alias(text))
-    places = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text) - width + 1)), lambda i: F.substring(F.col(text), i, F.lit(width))))
-    by_key = docs.select(doc_id, text, F.explode(places).alias("_k")).join(keyed, "_k").where(F.contains(F.col(text), F.col("_item"))).select(doc_id, item_id)
-    return by_key.unionByName(contains_pairs(docs, short, doc_id, item_id, text, 1)) if short.limit(1).count() else by_key
+    few = items.where(F.length(text) > 0).select(F.col(item_id), F.col(text).alias("_item"))
+    chars = few.agg(F.sum(F.length("_item"))).first()[0] or 0
+    blocks = max(1, -(-chars // CONTAINS_CHARS))
+    kind = lambda df, c: df.schema[c].dataType.simpleString()
+    schema = f"`{doc_id}` {kind(docs, doc_id)}, `{item_id}` {kind(items, item_id)}"
+    slim, out = docs.select(doc_id, F.col(text).cast("string").alias("_text")), None
+    for k in range(blocks):
+        part = few.where(F.pmod(F.xxhash64("_item"), F.lit(blocks)) == k).toArrow()
+        found = slim.mapInArrow(_search(part.column(0).combine_chunks(), part.column(1).to_pylist(), [doc_id, item_id]), schema)
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def _search(ids: pa.Array, texts: list[str], names: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The pass of one block of items over batches of (id, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        same: dict[str, list[int]] = {}
+        for n, t in enumerate(texts):
+            same.setdefault(t, []).append(n)
+        automaton = ahocorasick.Automaton()
+        for t, members in same.items():
+            automaton.add_word(t, members)
+        if same:
+            automaton.make_automaton()
+        for batch in batches:
+            rows, found = [], []
+            for r, t in enumerate(batch.column(1) if same else ()):
+                hit = {members[0]: members for _, members in automaton.iter(t.as_py() or "")}
+                for members in hit.values():
+                    rows += [r] * len(members)
+                    found += members
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), ids.take(pa.array(found, pa.int64()))], names)
+
+    return run
 
 
 def feedback_reason(keys: Column, status: Column, passed: Column, total: Column, pass_rate: Column, failing_input: Column) -> Column:

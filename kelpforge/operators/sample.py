@@ -115,12 +115,20 @@ def constrained_sample(df: DataFrame, cell: str, id_col: str, utility: str, code
 
 def capped_topk(df: DataFrame, state: str, id_col: str, score: str, problem: str, quotas: Mapping[str, int], per_problem: int) -> DataFrame:
     """By states, the rarest first (ties by name): the best scores, at most ``per_problem`` of
-    one problem over all states."""
+    one problem over all states.
+
+    The choice is sequential, in one task over a bounded number of rows. All states together
+    take Q rows at most (the quotas' sum), so at most Q / per_problem problems are ever full,
+    and with ``per_problem`` rows of each kept at most Q rows of a state are passed over: beyond
+    its best (quota + Q) rows none can be chosen.
+    """
     slim = df.where(F.col(state).isin(list(quotas))).select(state, id_col, F.col(score).cast("double").alias("_s"), problem)
     counts = {r[0]: r[1] for r in slim.groupBy(state).agg(F.count(F.lit(1))).collect()}
     order = {s: k for k, s in enumerate(sorted(counts, key=lambda s: (counts[s], s)))}
     # beyond a problem's cap in one state no row of it can be chosen
     best = top_by(slim.withColumn("_k", F.concat_ws("\x1f", state, problem)), "_k", [F.desc("_s"), F.col(id_col)], per_problem).drop("_k")
+    total = sum(quotas.values())
+    best = top_by(best, state, [F.desc("_s"), F.col(id_col)], max(quotas.values(), default=0) + total)
     cols = [state, id_col, "_s", problem]
 
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:

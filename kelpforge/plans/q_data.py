@@ -28,10 +28,21 @@ def normalized_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return first_wins(d, ["norm_hash"], "doc_id", count="copies").select("doc_id", "norm_hash", "copies")
 
 
-@query("layered_dedup")
+@query(
+    "layered_dedup",
+    "WITH RECURSIVE d AS (SELECT doc_id, source, source || '-' || substr(h, 1, 12) AS ep, h AS code, substr(h, 13, 2) AS mu, lang || ':' || substr(h, 15, 1) AS sig, substr(h, 16, 1) AS va, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn "
+    "FROM (SELECT doc_id, source, lang, sha256(text) AS h FROM documents)), "
+    "f AS (SELECT source, 0::BIGINT AS rn, NULL::BIGINT AS doc_id, NULL::VARCHAR AS why, []::VARCHAR[] AS kept FROM (SELECT DISTINCT source FROM d) UNION ALL "
+    "SELECT source, rn, doc_id, why, CASE WHEN why IS NULL THEN list_concat(kept, ['e' || ep, 'c' || code, 'm' || mu, 's' || sig, 'v' || sig || '/' || va]) ELSE kept END FROM "
+    "(SELECT d.*, f.kept, CASE WHEN list_contains(f.kept, 'e' || d.ep) THEN 'duplicate_episode' WHEN list_contains(f.kept, 'c' || d.code) THEN 'duplicate_code' WHEN list_contains(f.kept, 'm' || d.mu) THEN 'duplicate_mutation_set' "
+    "WHEN len(list_filter(f.kept, lambda x: x = 's' || d.sig)) >= 2 THEN 'signature_limit' WHEN list_contains(f.kept, 'v' || d.sig || '/' || d.va) THEN 'duplicate_variant' END AS why "
+    "FROM f JOIN d ON d.source IS NOT DISTINCT FROM f.source AND d.rn = f.rn + 1)) SELECT doc_id, source, why AS dedup_reason FROM f WHERE rn > 0",
+)
 def layered_dedup_query(spark: SparkSession, sf: str) -> DataFrame:
-    d = table(spark, sf, "documents").select("doc_id", "source", "lang", F.sha2("text", 256).alias("code"), F.substring("text", 1, 40).alias("mutation"), "n_chars")
-    d = d.withColumn("episode", F.concat_ws("-", "source", F.substring("code", 1, 12))).withColumn("signature", F.concat_ws(":", "lang", (F.col("n_chars") % 7).cast("string"))).withColumn("variant", F.col("n_chars") % 3)
+    """The stand-ins for episode, edits, signature and variant come from a digest of the whole text."""
+    d = table(spark, sf, "documents").select("doc_id", "source", "lang", F.sha2("text", 256).alias("code"))
+    part = lambda at, n: F.substring("code", at, n)
+    d = d.select("*", F.concat("source", F.lit("-"), part(1, 12)).alias("episode"), part(13, 2).alias("mutation"), F.concat("lang", F.lit(":"), part(15, 1)).alias("signature"), part(16, 1).alias("variant"))
     return layered_dedup(d, "doc_id", "episode", "source", "code", "mutation", "signature", ["variant"]).select("doc_id", "source", "dedup_reason")
 
 
@@ -86,7 +97,18 @@ def _split(spark: SparkSession, sf: str) -> DataFrame:
     return stratified_split(table(spark, sf, "documents").select("doc_id", "lang"), "lang", "doc_id", POOLS, 42)
 
 
-@query("stratified_split")
+@query(
+    "stratified_split",
+    "WITH RECURSIVE g AS (SELECT lang, count(*) AS n FROM documents GROUP BY lang), t AS (SELECT sum(n)::BIGINT AS total FROM g), "
+    "r AS (SELECT * FROM (VALUES ('sft', 0.2::DOUBLE, 0), ('rl', 0.7::DOUBLE, 1), ('behavior_dev', 0.1::DOUBLE, 2)) v(pool, share, ord)), "
+    "p AS (SELECT pool, base + CASE WHEN row_number() OVER (ORDER BY base - ideal, ord) <= total - sum(base) OVER () THEN 1 ELSE 0 END AS cap FROM (SELECT pool, ord, total, total * share AS ideal, floor(total * share)::BIGINT AS base FROM r, t)), "
+    "s AS (SELECT 0 AS step, lang, pool, ord, n, cap, n * share AS ideal, floor(n * share)::BIGINT AS got FROM g, r JOIN p USING (pool) UNION ALL "
+    "SELECT step + 1, lang, pool, ord, n, cap, ideal, got + CASE WHEN free AND row_number() OVER (ORDER BY free DESC, ideal - got DESC, lang DESC, pool DESC) = 1 THEN 1 ELSE 0 END FROM "
+    "(SELECT *, sum(got) OVER (PARTITION BY lang) < n AND sum(got) OVER (PARTITION BY pool) < cap AS free, sum(got) OVER () AS placed FROM s) WHERE placed < (SELECT total FROM t)), "
+    "b AS (SELECT lang, pool, sum(got) OVER (PARTITION BY lang ORDER BY ord) - got AS lo, sum(got) OVER (PARTITION BY lang ORDER BY ord) AS hi FROM s WHERE step = (SELECT max(step) FROM s)), "
+    "k AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY sha256('42:' || lang || ':' || doc_id), doc_id) - 1 AS r FROM documents) "
+    "SELECT doc_id, k.lang, pool FROM k JOIN b ON k.lang = b.lang AND r >= lo AND r < hi",
+)
 def stratified_split_query(spark: SparkSession, sf: str) -> DataFrame:
     return _split(spark, sf).select("doc_id", "lang", "pool")
 
@@ -171,13 +193,27 @@ def coverage_pick_query(spark: SparkSession, sf: str) -> DataFrame:
     return coverage_pick(table(spark, sf, "documents").select("doc_id", "lang", "source"), "doc_id", ["lang", "source"])
 
 
-@query("capped_topk")
+@query(
+    "capped_topk",
+    "WITH RECURSIVE q AS (SELECT * FROM (VALUES ('en', 30), ('de', 20), ('fr', 20), ('es', 20)) v(lang, quota)), o AS (SELECT lang, quota, row_number() OVER (ORDER BY count(*), lang) AS k FROM documents JOIN q USING (lang) GROUP BY lang, quota), "
+    "x AS (SELECT doc_id, lang, source, quota, row_number() OVER (ORDER BY k, n_chars DESC, doc_id) AS rn FROM documents JOIN o USING (lang)), "
+    "f AS (SELECT 0::BIGINT AS rn, NULL::BIGINT AS doc_id, NULL::VARCHAR AS lang, NULL::VARCHAR AS source, FALSE AS took, []::VARCHAR[] AS kept UNION ALL "
+    "SELECT rn, doc_id, lang, source, took, CASE WHEN took THEN list_concat(kept, ['l' || lang, 's' || source]) ELSE kept END FROM "
+    "(SELECT x.*, f.kept, len(list_filter(f.kept, lambda y: y = 'l' || x.lang)) < x.quota AND len(list_filter(f.kept, lambda y: y = 's' || x.source)) < 4 AS took FROM f JOIN x ON x.rn = f.rn + 1)) SELECT doc_id, lang, source FROM f WHERE took",
+)
 def capped_topk_query(spark: SparkSession, sf: str) -> DataFrame:
     d = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
     return capped_topk(d, "lang", "doc_id", "n_chars", "source", {"en": 30, "de": 20, "fr": 20, "es": 20}, 4).select("doc_id", "lang", "source")
 
 
-@query("constrained_sample")
+@query(
+    "constrained_sample",
+    "WITH RECURSIVE q AS (SELECT * FROM (VALUES ('en', 50), ('de', 20), ('fr', 20), ('es', 10)) v(lang, quota)), "
+    "x AS (SELECT doc_id, lang, source, quota, sha256(text) AS code, row_number() OVER (ORDER BY lang, n_chars DESC, doc_id) AS rn FROM documents JOIN q USING (lang)), "
+    "f AS (SELECT 0::BIGINT AS rn, NULL::BIGINT AS doc_id, NULL::VARCHAR AS lang, NULL::VARCHAR AS source, FALSE AS took, []::VARCHAR[] AS kept UNION ALL "
+    "SELECT rn, doc_id, lang, source, took, CASE WHEN took THEN list_concat(kept, ['l' || lang, 's' || source, 'c' || code, 'p' || source || '/' || lang]) ELSE kept END FROM "
+    "(SELECT x.*, f.kept, len(list_filter(f.kept, lambda y: y = 'l' || x.lang)) < x.quota AND NOT list_contains(f.kept, 'c' || x.code) AND len(list_filter(f.kept, lambda y: y = 's' || x.source)) < 6 AND len(list_filter(f.kept, lambda y: y = 'p' || x.source || '/' || x.lang)) < 3 AS took FROM f JOIN x ON x.rn = f.rn + 1)) SELECT doc_id, lang, source FROM f WHERE took",
+)
 def constrained_sample_query(spark: SparkSession, sf: str) -> DataFrame:
     d = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars", F.sha2("text", 256).alias("code"))
     picked, _ = constrained_sample(d, "lang", "doc_id", "n_chars", "code", "source", {"en": 50, "de": 20, "fr": 20, "es": 10}, 6, {"lang": 3})

@@ -64,6 +64,22 @@ def test_capped_topk_takes_the_rarest_state_first(spark):
     assert got == {9, 4, 10}
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_capped_topk_against_a_sequential_model(spark, seed):
+    r = random.Random(seed)
+    rows = [(i, r.choice("aabbbc"), float(r.randrange(20)), f"p{int(r.random() ** 3 * 40)}") for i in range(300)]
+    quotas = {"a": 7, "b": 4, "c": 9}
+    df = spark.createDataFrame(rows, "id int, state string, s double, p string")
+    got = {x["id"] for x in sample.capped_topk(df, "state", "id", "s", "p", quotas, 2).collect()}
+    sizes, taken, probs, want = Counter(x[1] for x in rows), Counter(), Counter(), set()
+    for i, state, _, p in sorted(rows, key=lambda x: (sizes[x[1]], x[1], -x[2], x[0])):
+        if taken[state] < quotas[state] and probs[p] < 2:
+            want.add(i)
+            taken[state] += 1
+            probs[p] += 1
+    assert got == want
+
+
 def test_split_is_exact_disjoint_and_repeatable(spark):
     df = spark.createDataFrame([(i, "ab"[i % 3 == 0]) for i in range(200)], "id int, s string")
     one = sample.stratified_split(df, "s", "id", {"x": 0.2, "y": 0.7, "z": 0.1}, 7)
@@ -106,13 +122,14 @@ def test_loss_mask_rules(spark):
     assert [r["why"] for r in got] == [None, "length_mismatch", "no_label", "attention_not_one", "label_differs", "span_bounds", "span_supervision"]
 
 
-@pytest.mark.parametrize("limit", [100, 0])
-def test_contains_pairs_both_ways(spark, monkeypatch, limit):
-    monkeypatch.setattr(quality, "CONTAINS_BROADCAST", 1 if limit == 0 else limit)
+@pytest.mark.parametrize("chars", [1000, 10])
+def test_contains_pairs_in_one_block_and_in_many(spark, monkeypatch, chars):
+    monkeypatch.setattr(quality, "CONTAINS_CHARS", chars)
     d = spark.createDataFrame([(1, "the quick brown fox jumps"), (2, "nothing here"), (3, None)], "d int, text string")
-    b = spark.createDataFrame([(1, "quick brown"), (2, "brown fox jumps"), (3, "absent text!"), (4, "no"), (5, "")], "b int, text string")
+    b = spark.createDataFrame([(1, "quick brown"), (2, "brown fox jumps"), (3, "absent text!"), (4, "no"), (5, ""), (6, None), (7, "no")], "b int, text string")
     got = {(r["d"], r["b"]) for r in quality.contains_pairs(d, b, "d", "b").collect()}
-    assert got == {(1, 1), (1, 2), (2, 4)}
+    assert got == {(1, 1), (1, 2), (2, 4), (2, 7)}
+    assert quality.contains_pairs(d, b.where("b = 5"), "d", "b").count() == 0
 
 
 def test_paired_thresholds(spark):
