@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kelpforge.operators.report import budget_issues, classify_post_submit, grade_fold, manifest, midpoint_percentile, pearson, rate, upper_median
+from kelpforge.operators.report import budget_issues, classify_post_submit, failure_signature, grade_fold, manifest, midpoint_percentile, pearson, rate, upper_median
 from kelpforge.plans.catalog import query
 from kelpforge.session import table
 
@@ -43,9 +43,13 @@ def grade_fold_query(spark: SparkSession, sf: str) -> DataFrame:
     return _grades(spark, sf)
 
 
-@query("outcome_signature", f"SELECT sha256(concat_ws('|', status, passed::VARCHAR, total::VARCHAR, coalesce(failing_input, ''))) AS signature, count(*) AS n FROM ({_FOLD}) GROUP BY 1")
+@query(
+    "outcome_signature",
+    """SELECT 'sha256:' || sha256('{"exception_type":null,"failing_input":' || coalesce('"' || failing_input || '"', 'null') || ',"passed":' || passed || ',"status":"' || status || '","total":' || total || '}') AS signature, count(*) AS n """
+    f"FROM ({_FOLD}) GROUP BY 1",
+)
 def outcome_signature(spark: SparkSession, sf: str) -> DataFrame:
-    sig = F.sha2(F.concat_ws("|", "status", F.col("passed").cast("string"), F.col("total").cast("string"), F.coalesce("failing_input", F.lit(""))), 256)
+    sig = failure_signature(F.col("status"), F.col("passed"), F.col("total"), F.col("failing_input"), F.lit(None).cast("string"))
     return _grades(spark, sf).groupBy(sig.alias("signature")).agg(F.count(F.lit(1)).alias("n"))
 
 
