@@ -23,7 +23,7 @@ PROBLEMS = (
 
 
 def _values(columns: str, *rows: tuple) -> str:
-    """SQL of a table that was worked out by hand; ``columns`` as name and type."""
+    """SQL of a table whose rows were checked by hand; ``columns`` as name and type."""
     names, kinds = zip(*(c.split() for c in columns.split(", ")))
     say = lambda v: "NULL" if v is None else f"'{v.replace(chr(39), chr(39) * 2)}'" if isinstance(v, str) else repr(v)
     lines = ", ".join("(" + ", ".join(f"CAST({say(v)} AS {k})" for v, k in zip(r, kinds)) + ")" for r in rows)
