@@ -6,6 +6,7 @@ import json
 import os
 import re
 import resource
+import shutil
 import signal
 import subprocess
 import sys
@@ -30,11 +31,13 @@ print("\\n" + {mark!r} + _kj.dumps(_kf(*_ka), ensure_ascii=False, separators=(",
 
 @dataclass(frozen=True)
 class Limits:
-    """Seconds of a run, MB of memory, bytes of input and of output."""
+    """Seconds of a run, MB of memory, bytes of input and of output, and whether bubblewrap
+    isolates the run (namespaces of its own, the system read-only)."""
 
     seconds: float = 3.0
     memory_mb: int = 512
     bytes: int = 65_536
+    bubblewrap: bool = False
 
 
 @dataclass(frozen=True)
@@ -57,6 +60,21 @@ def _confine(limits: Limits):
     return apply
 
 
+def command(script: str, folder: str, limits: Limits = Limits()) -> list[str]:
+    """The command of a run: Python alone, or inside bubblewrap without a network, with nothing
+    but the run's own folder to write to. A worker without bubblewrap is an error, never a run
+    without isolation."""
+    python = [sys.executable, "-I", "-S", script]
+    if not limits.bubblewrap:
+        return python
+    tool = shutil.which("bwrap")
+    if tool is None:
+        raise RuntimeError("bubblewrap isn't installed on this worker")
+    system = [p for p in dict.fromkeys(("/usr", "/bin", "/lib", "/lib64", sys.prefix, sys.base_prefix)) if os.path.exists(p)]
+    shown = [x for p in system for x in ("--ro-bind", p, p)]
+    return [tool, "--unshare-all", "--die-with-parent", "--new-session", "--proc", "/proc", "--dev", "/dev", *shown, "--bind", folder, folder, "--chdir", folder, *python]
+
+
 def run(code: str, stdin: str, limits: Limits = Limits()) -> Run:
     """Runs a program on an input. Failures are statuses, never exceptions, so a retried task
     gives the same row."""
@@ -71,7 +89,7 @@ def run(code: str, stdin: str, limits: Limits = Limits()) -> Run:
         out, err = open(os.path.join(folder, "out"), "w+b"), open(os.path.join(folder, "err"), "w+b")
         with out, err:
             env = {"PATH": "/usr/bin:/bin", "HOME": folder, "PYTHONIOENCODING": "utf-8", "PYTHONHASHSEED": "0"}
-            child = subprocess.Popen([sys.executable, "-I", "-S", script], stdin=subprocess.PIPE, stdout=out, stderr=err, cwd=folder, env=env, preexec_fn=_confine(limits))
+            child = subprocess.Popen(command(script, folder, limits), stdin=subprocess.PIPE, stdout=out, stderr=err, cwd=folder, env=env, preexec_fn=_confine(limits))
             try:
                 child.communicate(stdin.encode(), timeout=limits.seconds)
                 late = False
