@@ -13,7 +13,8 @@ order of seq, messages are put in order of their first event and rendered as
 ``<|im_start|>role\\ntext<|im_end|>\\n``. Control strings inside roles and texts are escaped
 reversibly: a backslash is doubled and ``<|`` becomes ``<\\|``; a role's line feed becomes
 ``\\n``. No escaped text holds ``<|``, so the marks can't be forged and turns are read back by
-splitting at them.
+splitting at them. The loss mask lists spans of the rendering, and the loss text of the digest
+is what lies under them.
 
 A conversation is one sample whose rendering is one string, so its events meet in one task;
 nothing else does.
@@ -26,12 +27,21 @@ conv_id is a conversation; an empty table gives no conversation; other columns a
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: The marks of the template.
 START, END = "<|im_start|>", "<|im_end|>\n"
 KINDS = ("open", "regenerate", "edit", "delta")
+#: Turns in a block of sums, code points in a block of text.
+TURNS, CHARS = 64, 4096
+
+
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with ``value`` computed once even where ``use`` reads it in a lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def escape(c: Column) -> Column:
@@ -84,26 +94,49 @@ def fold(events: DataFrame) -> DataFrame:
     return whole.select("conv_id", F.transform(kept, lambda m: F.struct(m["role"].alias("role"), m["text"].alias("text"))).alias("turns"))
 
 
+def starts(sizes: Column) -> Column:
+    """Where each of consecutive stretches starts, from 0: the sum of the whole blocks before
+    its own, then of its own block's part, so that no turn sums or copies all before it."""
+    total = lambda xs: F.aggregate(xs, F.lit(0).cast("long"), lambda a, x: a + x)
+    block = lambda i: F.floor(i / TURNS).cast("int")
+    sums = lambda s: F.transform(F.sequence(F.lit(0), block(F.size(s))), lambda k: total(F.slice(s, k * TURNS + 1, F.lit(TURNS))))
+    before = lambda b: F.transform(b, lambda _, k: total(F.slice(b, F.lit(1), k)))
+    at = lambda s, c: F.transform(s, lambda _, i: F.get(c, block(i)) + total(F.slice(s, i - i % TURNS + 1, i % TURNS)))
+    return bind(sizes, lambda s: bind(sums(s), lambda b: bind(before(b), lambda c: at(s, c))))
+
+
 def render(conversations: DataFrame, trained: str = "assistant") -> DataFrame:
     """(conv_id, formatted, mask): the string, and start and length in code points of each
     text of role ``trained``, from 0."""
     pieces = F.transform("turns", lambda t: F.struct(F.concat(F.lit(START), escape_role(t["role"]), F.lit("\n")).alias("head"), escape(t["text"]).alias("body"), (t["role"] == trained).alias("on")))
     laid = conversations.select("conv_id", pieces.alias("p"))
     n = lambda c: F.length(c).cast("long")
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.expr("cast(array() as array<struct<start:bigint,len:bigint>>)").alias("mask"))
-
-    def step(acc: Column, p: Column) -> Column:
-        begin = acc["at"] + n(p["head"])
-        span = F.array(F.struct(begin.alias("start"), n(p["body"]).alias("len")))
-        return F.struct((begin + n(p["body"]) + F.lit(len(END))).alias("at"), F.when(p["on"], F.concat(acc["mask"], span)).otherwise(acc["mask"]).alias("mask"))
-
+    sizes = F.transform("p", lambda p: F.struct(n(p["head"]).alias("head"), n(p["body"]).alias("body"), p["on"].alias("on")))
+    span = lambda z, at: F.when(z["on"], F.struct((at + z["head"]).alias("start"), z["body"].alias("len")))
+    spans = lambda s: F.array_compact(F.zip_with(s, starts(F.transform(s, lambda z: z["head"] + z["body"] + F.lit(len(END)))), span))
     return laid.select(
         "conv_id",
         F.array_join(F.transform("p", lambda p: F.concat(p["head"], p["body"], F.lit(END))), "").alias("formatted"),
-        F.aggregate("p", start, step)["mask"].alias("mask"),
+        bind(sizes, spans).alias("mask"),
     )
 
 
+def under_mask(formatted: Column, mask: Column) -> Column:
+    """The texts at the mask's spans, unescaped, in the mask's order.
+
+    A position in a string is found by counting from its start, so the string is cut once into
+    blocks and a span reads its own blocks only.
+    """
+    blocks = F.regexp_extract_all(formatted, F.lit(f"(?s).{{1,{CHARS}}}+"), F.lit(0))
+    block = lambda n: F.floor(n / CHARS).cast("int")
+
+    def cut(b: Column, m: Column) -> Column:
+        near = F.array_join(F.slice(b, block(m["start"]) + 1, block(m["len"]) + 2), "")
+        return unescape(F.substring(near, (m["start"] % CHARS + 1).cast("int"), m["len"].cast("int")))
+
+    return bind(blocks, lambda b: F.transform(mask, lambda m: cut(b, m)))
+
+
 def read_back(formatted: Column) -> Column:
     """The turns (role, text) of a rendered conversation."""
     pieces = F.filter(F.split(formatted, r"<\|im_end\|>\n", -1), lambda x: x != "")
@@ -117,16 +150,17 @@ def read_back(formatted: Column) -> Column:
     )
 
 
-def chat_digest(rendered: DataFrame, trained: str = "assistant") -> DataFrame:
-    """Counts and digests of rendered conversations, read back from the strings."""
-    back = rendered.select("conv_id", "formatted", "mask", read_back(F.col("formatted")).alias("turns"))
-    loss = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == trained), lambda t: t["text"]), "")
+def chat_digest(rendered: DataFrame) -> DataFrame:
+    """Counts and digests of rendered conversations, read back from the strings; the loss is
+    the text under the mask, whatever the roles."""
+    texts = F.array_join(under_mask(F.col("formatted"), F.col("mask")), "")
+    back = rendered.select("conv_id", "formatted", read_back(F.col("formatted")).alias("turns"), texts.alias("loss"))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return back.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
         F.sha2(said, 256).alias("turns_sha256"),
-        F.length(loss).cast("long").alias("loss_chars"),
-        F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )

@@ -172,6 +172,25 @@ def test_chat_query_and_odd_turns(spark):
     assert chat_format.fold(chat_format.turn_events(odd.limit(0))).count() == 0
 
 
+def test_chat_loss_is_what_the_mask_covers(spark):
+    rng = random.Random(4)
+    say = lambda n: "".join(rng.choice(["a", "\\", "<|", "é", "\U0001f600", "\n", "<|im_end|>\n"]) for _ in range(n))
+    sizes = [[0, 1, 5], [3] * (2 * chat_format.TURNS), [rng.randrange(40) for _ in range(5 * chat_format.TURNS + 1)], [chat_format.CHARS, 3 * chat_format.CHARS, 0, 7, 2 * chat_format.CHARS + 1]]
+    turns = [(c, k, rng.choice(["user", "assistant", "tool\n<|"]), say(n)) for c, ns in enumerate(sizes) for k, n in enumerate(ns)]
+    folded = chat_format.fold(chat_format.turn_events(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")))
+    for trained in ("assistant", "user", "tool\n<|", "nobody"):
+        out = {r["conv_id"]: r for r in chat_format.chat_digest(chat_format.render(folded, trained)).collect()}
+        for c in range(len(sizes)):
+            loss = "".join(t for i, _, role, t in turns if i == c and role == trained)
+            assert (out[c]["loss_chars"], out[c]["loss_sha256"]) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    rendered = chat_format.render(folded)
+    moved = rendered.withColumn("mask", F.expr("transform(mask, m -> struct(m.start - 1 as start, 1L as len))"))
+    got = {r["conv_id"]: r for r in chat_format.chat_digest(moved).collect()}
+    for c in range(len(sizes)):
+        feeds = "\n" * sum(i == c and role == "assistant" for i, _, role, _ in turns)
+        assert (got[c]["loss_chars"], got[c]["loss_sha256"]) == (len(feeds), hashlib.sha256(feeds.encode()).hexdigest())
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (5, 4), (3, 9), (7, 7), (9, 20), (20, 21), (21, 22)]
     got = {r["doc_id"]: r["label"] for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
